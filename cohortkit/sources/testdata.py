@@ -149,9 +149,10 @@ def person_course(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(nation, c("c_nationkey") == c("n_nationkey"), "left")
         .withColumn("j", F.explode(F.when(c("c_custkey") % 2 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     )
-    share = (c("c_acctbal") + 1000) / 11000.0
+    # whole cents, so that the share is cut at four digits without rounding ties
+    share = F.floor((F.round(c("c_acctbal") * 100).cast("long") + 100000) / F.lit(110)).cast("long")
     u = c("c_custkey")
-    base = base.withColumn("g", F.round(F.when(c("j") == 0, share).otherwise(1 - share), 4)).withColumn(
+    base = base.withColumn("g", F.when(c("j") == 0, share).otherwise(10000 - share) / F.lit(10000.0)).withColumn(
         "mode", F.when(c("c_mktsegment") == "MACHINERY", "verified").when(c("c_mktsegment") == "AUTOMOBILE", "audit")
         .otherwise("honor"))
     no = F.coalesce(c("no"), F.lit(0))
@@ -327,8 +328,8 @@ SQL = {
         CASE WHEN t='click' THEN event_id%4+1 END AS attempts FROM ev2""",
     "ord1": """SELECT o_custkey, count(*) AS no, min(o_orderdate) AS start_time, max(o_orderdate) AS last_event,
         sum(o_totalprice) AS spent FROM orders GROUP BY 1""",
-    "pc0": """SELECT c.*, o.*, n.*, r.*, j, round(CASE WHEN j=0 THEN (c_acctbal+1000)/11000.0::DOUBLE
-        ELSE 1-(c_acctbal+1000)/11000.0::DOUBLE END, 4) AS g,
+    "pc0": """SELECT c.*, o.*, n.*, r.*, j, CASE WHEN j=0 THEN (CAST(round(c_acctbal*100) AS BIGINT)+100000)//110
+        ELSE 10000-(CAST(round(c_acctbal*100) AS BIGINT)+100000)//110 END::DOUBLE/10000.0::DOUBLE AS g,
         CASE WHEN c_mktsegment='MACHINERY' THEN 'verified' WHEN c_mktsegment='AUTOMOBILE' THEN 'audit' ELSE 'honor' END AS mode
         FROM customer c LEFT JOIN ord1 o ON c_custkey=o_custkey LEFT JOIN nation n ON c_nationkey=n_nationkey
         LEFT JOIN region r ON n_regionkey=r_regionkey CROSS JOIN (SELECT unnest([0,1]) AS j) WHERE j=0 OR c_custkey%2=0""",
