@@ -63,10 +63,10 @@ def inputs(spark, d):
 
 EV = """le AS (SELECT 'Org'||((o_custkey//30)%3)||'/C'||(o_custkey//30)||'/T1' AS course_id, 'u'||o_custkey AS username,
  'Org'||((o_custkey//30)%3)||'/C'||(o_custkey//30)||'/problem/p'||lpad(CAST(l_partkey%20 AS VARCHAR),2,'0') AS module_id,
- 946684800+date_diff('day', TIMESTAMP '1995-01-01', l_shipdate)*600+l_linenumber*7+l_partkey%300+l_orderkey%50 AS at, '10.'||(o_custkey%5)||'.'||(l_orderkey%2) AS ip,
+ 946684800+date_diff('day', TIMESTAMP '1995-01-01', l_shipdate)*600+l_linenumber*7+l_partkey%300+l_orderkey%50 AS tat, '10.'||(o_custkey%5)||'.'||(l_orderkey%2) AS ip,
  l_linenumber, l_quantity, l_suppkey FROM lineitem JOIN orders ON l_orderkey=o_orderkey),
- chk AS (SELECT course_id, username, module_id, at AS t, l_linenumber AS attempts, l_quantity>20 AS ok, l_quantity AS grade, min(ip) OVER (PARTITION BY course_id, username, module_id, at) AS ip FROM le),
- rv AS (SELECT course_id, username, module_id, at-l_suppkey%20*3600 AS t, min(ip) AS ip FROM le WHERE l_linenumber>=3 GROUP BY 1,2,3,4)"""
+ chk AS (SELECT course_id, username, module_id, tat AS t, l_linenumber AS attempts, l_quantity>20 AS ok, l_quantity AS grade, min(ip) OVER (PARTITION BY course_id, username, module_id, tat) AS ip FROM le),
+ rv AS (SELECT course_id, username, module_id, tat-l_suppkey%20*3600 AS t, min(ip) AS ip FROM le WHERE l_linenumber>=3 GROUP BY 1,2,3,4)"""
 RESP = """rsp0 AS (SELECT a.course_id, a.user_id, CASE attempts WHEN 2 THEN 'v'||response[8:8] WHEN 3 THEN '""' ELSE response END AS response, itype FROM ans a
  LEFT JOIN axis x ON a.course_id=x.course_id AND a.problem_url_name=x.url_name),
  rsp1 AS (SELECT course_id, user_id, response, CASE WHEN contains(response,'choice_') OR contains(response,'option_') OR itype IN ('multiplechoiceresponse','choiceresponse') THEN 'm' ELSE 'f' END AS kind FROM rsp0),
@@ -95,22 +95,22 @@ def name_similarity(spark, d):
                      A.name_similarity(F.substring_index("email", ".", 1), F.concat("countryLabel", "username")).alias("similarity"))
 
 
-_HAS = "FILTER (st<at)"
+_HAS = "FILTER (st<tat)"
 _Q = ", ".join(f"quantile_cont({v},{p}) {_HAS} AS {n}_p{round(p * 100):02d}" for n, v in (("sa_dt", "sg"), ("ca_dt", "ag"), ("dt_dt", "dd")) for p in (0.05, 0.5, 0.9, 0.95))
 _X = ", ".join(f"count(*) FILTER (dt<={s}) AS x{n}, count(*) FILTER (dt<={s} AND same) AS x{n}_same_ip" for n, s in A.SPANS.items())
 
 
 def _features(extra_where: str) -> str:
     """Pair features by brute force over every pair, from ``sh`` (sources) and ``ma`` (answers)."""
-    return f"""n0 AS (SELECT m.course_id, m.username AS master_candidate, h.username AS harvester_candidate, m.module_id, m.t AS at, m.ip AS a_ip, m.grade AS a_grade, ncorrect, nattempts, t0,
+    return f"""n0 AS (SELECT m.course_id, m.username AS master_candidate, h.username AS harvester_candidate, m.module_id, m.t AS tat, m.ip AS a_ip, m.grade AS a_grade, ncorrect, nattempts, t0,
    coalesce(max(h.t) FILTER (h.t<m.t), min(h.t)) AS st FROM ma m JOIN sh h ON m.course_id=h.course_id AND m.module_id=h.module_id AND m.username<>h.username GROUP BY ALL),
   n1 AS (SELECT n0.*, h.ip AS s_ip, h.grade AS s_grade FROM n0 JOIN (SELECT DISTINCT * FROM sh) h ON n0.course_id=h.course_id AND n0.harvester_candidate=h.username AND n0.module_id=h.module_id AND n0.st=h.t
    QUALIFY row_number() OVER (PARTITION BY n0.course_id, master_candidate, harvester_candidate, n0.module_id ORDER BY h.ip DESC, h.grade DESC)=1),
-  n2 AS (SELECT *, CASE WHEN st<at THEN (at-st)::DOUBLE END AS dt, a_ip=s_ip AS same FROM n1 {extra_where}),
-  n3 AS (SELECT *, CASE WHEN st<at THEN st-lag(st) OVER (pr ORDER BY st, module_id) END AS sg, CASE WHEN st<at THEN at-lag(at) OVER (pr ORDER BY at, module_id) END AS ag,
-   CASE WHEN st<at THEN abs(dt-lag(dt) OVER (pr ORDER BY at, module_id)) END AS dd FROM n2 WINDOW pr AS (PARTITION BY course_id, master_candidate, harvester_candidate, st<at)),
+  n2 AS (SELECT *, CASE WHEN st<tat THEN (tat-st)::DOUBLE END AS dt, a_ip=s_ip AS same FROM n1 {extra_where}),
+  n3 AS (SELECT *, CASE WHEN st<tat THEN st-lag(st) OVER (pr ORDER BY st, module_id) END AS sg, CASE WHEN st<tat THEN tat-lag(tat) OVER (pr ORDER BY tat, module_id) END AS ag,
+   CASE WHEN st<tat THEN abs(dt-lag(dt) OVER (pr ORDER BY tat, module_id)) END AS dd FROM n2 WINDOW pr AS (PARTITION BY course_id, master_candidate, harvester_candidate, st<tat)),
   f0 AS (SELECT course_id, master_candidate, harvester_candidate, count(*) AS prob_in_common, count(*) {_HAS} AS show_ans_before, count(*) FILTER (same) AS nsame_ip,
-   count(*) FILTER (same AND st<at) AS nsame_ip_given_sab, avg(dt) AS avg_max_dt_seconds, stddev_samp(dt) AS dt_std_dev, corr(st-t0, at-t0) AS norm_pearson_corr, corr(st-1262304000, at-1262304000) AS unnormalized_pearson_corr,
+   count(*) FILTER (same AND st<tat) AS nsame_ip_given_sab, avg(dt) AS avg_max_dt_seconds, stddev_samp(dt) AS dt_std_dev, corr(st-t0, tat-t0) AS norm_pearson_corr, corr(st-1262304000, tat-1262304000) AS unnormalized_pearson_corr,
    sum((ag-sg)*(ag-sg)/nullif(ag,0)) AS sa_ca_dt_chi_squared, corr(sg,ag) AS sa_ca_dt_correlation, max(ncorrect) AS ncorrect, max(ncorrect)/max(nattempts)*100 AS percent_attempts_correct,
    quantile_cont(dt,0.25) AS q25, quantile_cont(dt,0.5) AS median_max_dt_seconds, quantile_cont(dt,0.75) AS percentile75_dt_seconds, quantile_cont(dt,0.9) AS percentile90_dt_seconds, {_Q}, {_X}
    FROM n3 GROUP BY 1,2,3),
@@ -122,8 +122,8 @@ def _features(extra_where: str) -> str:
 
 _ORD = """o0 AS (SELECT k.course_id, k.username AS mc, h.username AS hc, k.module_id, max(h.t) FILTER (h.t<k.lt) AS st FROM (SELECT course_id, username, module_id, max(t) AS lt FROM oc GROUP BY 1,2,3) k
    JOIN os h ON k.course_id=h.course_id AND k.module_id=h.module_id AND k.username<>h.username WHERE h.t<k.lt GROUP BY 1,2,3,4),
-  o1 AS (SELECT o0.*, oc.t AS at, count(*) OVER (PARTITION BY o0.course_id, mc, hc) AS n FROM o0 JOIN oc ON o0.course_id=oc.course_id AND o0.mc=oc.username AND o0.module_id=oc.module_id),
-  o2 AS (SELECT *, st-lag(st) OVER (PARTITION BY course_id, mc, hc ORDER BY st, at, module_id) AS sg, at-lag(at) OVER (PARTITION BY course_id, mc, hc ORDER BY at, st, module_id) AS ag FROM o1 WHERE n>=10),
+  o1 AS (SELECT o0.*, oc.t AS tat, count(*) OVER (PARTITION BY o0.course_id, mc, hc) AS n FROM o0 JOIN oc ON o0.course_id=oc.course_id AND o0.mc=oc.username AND o0.module_id=oc.module_id),
+  o2 AS (SELECT *, st-lag(st) OVER (PARTITION BY course_id, mc, hc ORDER BY st, tat, module_id) AS sg, tat-lag(tat) OVER (PARTITION BY course_id, mc, hc ORDER BY tat, st, module_id) AS ag FROM o1 WHERE n>=10),
   o3 AS (SELECT *, row_number() OVER (PARTITION BY course_id, mc, hc ORDER BY sg NULLS FIRST) AS rs, row_number() OVER (PARTITION BY course_id, mc, hc ORDER BY ag NULLS FIRST) AS ra FROM o2),
   ord AS (SELECT x.course_id, x.mc AS master_candidate, x.hc AS harvester_candidate, corr(x.sg, y.ag) AS sa_ca_dt_corr_ordered, sum((y.ag-x.sg)*(y.ag-x.sg)/nullif(y.ag,0)) AS sa_ca_dt_chi_sq_ordered
    FROM o3 x JOIN o3 y ON x.course_id=y.course_id AND x.mc=y.mc AND x.hc=y.hc AND x.rs=y.ra GROUP BY 1,2,3)"""
@@ -149,7 +149,7 @@ SAB = f"""{EV}, {RESP}, {_T0},
  ma AS (SELECT q.course_id, q.username, q.module_id, q.t, q.ip, q.grade, q.n AS ncorrect, nattempts, t0 FROM (SELECT *, count(*) OVER (PARTITION BY course_id, username) AS n FROM (SELECT * FROM chk WHERE ok
    QUALIFY row_number() OVER (PARTITION BY course_id, username, module_id ORDER BY t, ip, grade)=1)) q JOIN pc USING (course_id, username) JOIN nat USING (course_id, username) JOIN t0s USING (course_id, module_id) WHERE certified AND n>=10),
  {_features('')}, os AS (SELECT course_id, username, module_id, t FROM le0), oc AS (SELECT course_id, username, module_id, t FROM chk WHERE ok), {_ORD},
- {_KEEP.format(having='show_ans_before>=10 AND median_max_dt_seconds<=604800')}""".replace("le0", "(SELECT course_id, username, module_id, at-l_suppkey%20*3600 AS t FROM le WHERE l_linenumber>=3)")
+ {_KEEP.format(having='show_ans_before>=10 AND median_max_dt_seconds<=604800')}""".replace("le0", "(SELECT course_id, username, module_id, tat-l_suppkey%20*3600 AS t FROM le WHERE l_linenumber>=3)")
 
 
 def sab_pairs(spark, d, keep=True):
@@ -181,13 +181,13 @@ def pair_answer_coupling(spark, d):
 
 HIGH = f"""{EV}, ix AS (SELECT course_id, module_id, index FROM axis WHERE category='problem'),
  rd AS (SELECT course_id, username, index, min(t) AS st FROM rv JOIN ix USING (course_id, module_id) GROUP BY 1,2,3),
- dn AS (SELECT course_id, username, index, max(t) AS at, min(t) AS fc FROM chk JOIN ix USING (course_id, module_id) JOIN pc USING (course_id, username) WHERE ok AND certified GROUP BY 1,2,3),
+ dn AS (SELECT course_id, username, index, max(t) AS tat, min(t) AS fc FROM chk JOIN ix USING (course_id, module_id) JOIN pc USING (course_id, username) WHERE ok AND certified GROUP BY 1,2,3),
  rr AS (SELECT rd.* FROM rd JOIN pc USING (course_id, username) WHERE NOT certified AND (course_id, username) IN (SELECT (r.course_id, r.username) FROM rd r JOIN
    (SELECT course_id, count(DISTINCT module_id)*2/5 AS lim FROM rv GROUP BY 1) q ON r.course_id=q.course_id GROUP BY r.course_id, r.username, lim HAVING count(*)>lim)),
- pp AS (SELECT a.course_id, a.username AS master_candidate, b.username AS harvester_candidate, at, st, t0 FROM dn a JOIN rr b ON a.course_id=b.course_id AND a.index=b.index AND a.username<>b.username
+ pp AS (SELECT a.course_id, a.username AS master_candidate, b.username AS harvester_candidate, tat, st, t0 FROM dn a JOIN rr b ON a.course_id=b.course_id AND a.index=b.index AND a.username<>b.username
    JOIN (SELECT course_id, index, min(fc) AS t0 FROM dn GROUP BY 1,2) z ON a.course_id=z.course_id AND a.index=z.index),
- pz AS (SELECT course_id, master_candidate, harvester_candidate, round(quantile_cont((at-st)::DOUBLE,0.5) FILTER (st<at),3) AS med, count(*) FILTER (st<at) AS sab, round(count(*) FILTER (st<at)/count(*),4)*100 AS psa,
-   count(*) AS common, round(avg(at-st) FILTER (st<at),3) AS mean, round(corr(st-t0,at-t0),8) AS nc, round(corr(st-1262304000,at-1262304000),8) AS uc FROM pp GROUP BY 1,2,3 HAVING count(*) FILTER (st<at)>10),
+ pz AS (SELECT course_id, master_candidate, harvester_candidate, round(quantile_cont((tat-st)::DOUBLE,0.5) FILTER (st<tat),3) AS med, count(*) FILTER (st<tat) AS sab, round(count(*) FILTER (st<tat)/count(*),4)*100 AS psa,
+   count(*) AS common, round(avg(tat-st) FILTER (st<tat),3) AS mean, round(corr(st-t0,tat-t0),8) AS nc, round(corr(st-1262304000,tat-1262304000),8) AS uc FROM pp GROUP BY 1,2,3 HAVING count(*) FILTER (st<tat)>10),
  sc AS (SELECT *, coalesce((psa-avg(psa) OVER w)/nullif(stddev_samp(psa) OVER w,0),0)+coalesce(0.5*(sab-avg(sab) OVER w)/nullif(stddev_samp(sab) OVER w,0),0)+coalesce((nc-avg(nc) OVER w)/nullif(stddev_samp(nc) OVER w,0),0)
    -2*(med-avg(med) OVER w)/nullif(stddev_samp(med) OVER w,0) AS score FROM pz WINDOW w AS (PARTITION BY course_id, master_candidate)),
  best AS (SELECT course_id, master_candidate, harvester_candidate, psa AS percent_show_ans_before, mean AS avg_max_dt_seconds, med AS median_max_dt_seconds, nc AS norm_pearson_corr, uc AS unnormalized_pearson_corr,
@@ -201,8 +201,8 @@ def pair_high_score(spark, d):
 
 
 @query("A8_problems_for_pairs", sql("pc", """SELECT course_id, master_candidate, harvester_candidate, module_id,
- strftime(make_timestamp(at*1000000),'%Y-%m-%d %H:%M:%S.%f') AS answer_time, strftime(make_timestamp(st*1000000),'%Y-%m-%d %H:%M:%S.%f') AS reveal_time, a_ip, s_ip, a_ip=s_ip AS same_ip, (at-st)::DOUBLE AS dt FROM (
- SELECT l.*, k.module_id, k.t AS at, k.ip AS a_ip, max(h.t) AS st, arg_max(h.ip, h.t) AS s_ip FROM ls l JOIN (SELECT * FROM chk WHERE ok QUALIFY row_number() OVER (PARTITION BY course_id, username, module_id ORDER BY t, ip, grade)=1) k
+ strftime(make_timestamp(tat*1000000),'%Y-%m-%d %H:%M:%S.%f') AS answer_time, strftime(make_timestamp(st*1000000),'%Y-%m-%d %H:%M:%S.%f') AS reveal_time, a_ip, s_ip, a_ip=s_ip AS same_ip, (tat-st)::DOUBLE AS dt FROM (
+ SELECT l.*, k.module_id, k.t AS tat, k.ip AS a_ip, max(h.t) AS st, arg_max(h.ip, h.t) AS s_ip FROM ls l JOIN (SELECT * FROM chk WHERE ok QUALIFY row_number() OVER (PARTITION BY course_id, username, module_id ORDER BY t, ip, grade)=1) k
   ON l.course_id=k.course_id AND l.master_candidate=k.username JOIN rv h ON l.course_id=h.course_id AND l.harvester_candidate=h.username AND h.module_id=k.module_id AND h.t<k.t GROUP BY ALL)""",
     f"{EV}, ls AS (SELECT course_id, username AS master_candidate, 'u'||(user_id+1) AS harvester_candidate FROM pc WHERE user_id%3=0)"))
 def problems_for_pairs(spark, d):
@@ -240,9 +240,9 @@ LAC = "lac AS (SELECT * REPLACE (nattempts-20 AS nshow_answer_unique_problems, r
 
 
 def _groups_sql(key: str, base: str) -> str:
-    return f"""{LAC}, g0 AS ({base}), g1 AS (SELECT * FROM g0 QUALIFY count(*) FILTER (certified) OVER w>0 AND count(*) FILTER (NOT certified) OVER w>0 AND count(DISTINCT username) OVER w<8 WINDOW w AS (PARTITION BY course_id, {key})),
+    return f"""{LAC}, g0 AS ({base}), g1 AS (SELECT * FROM g0 WINDOW w AS (PARTITION BY course_id, {key}) QUALIFY count(*) FILTER (certified) OVER w>0 AND count(*) FILTER (NOT certified) OVER w>0 AND count(DISTINCT username) OVER w<8),
     g2 AS (SELECT * FROM g1 WHERE certified OR NOT (percent_correct>70 OR nshow_answer_unique_problems<=10 OR frac_complete=0)),
-    g3 AS (SELECT * FROM g2 QUALIFY count(*) FILTER (certified) OVER w>0 AND count(*) FILTER (NOT certified) OVER w>0 WINDOW w AS (PARTITION BY course_id, {key}))"""
+    g3 AS (SELECT * FROM g2 WINDOW w AS (PARTITION BY course_id, {key}) QUALIFY count(*) FILTER (certified) OVER w>0 AND count(*) FILTER (NOT certified) OVER w>0)"""
 
 
 _PERSON = "p.course_id, p.user_id, p.username, '10.9.'||(p.user_id%9) AS ip, p.certified, a.nshow_answer_unique_problems, a.percent_correct, a.frac_complete"
@@ -284,14 +284,14 @@ _V3 = """gt AS (SELECT DISTINCT username, ip, CAST(user_id//4 AS VARCHAR) AS grp
  rw AS (SELECT pe.*, i.harvester_candidate AS shadow, show_ans_before, prob_in_common, percent_show_ans_before, median_max_dt_seconds, norm_pearson_corr FROM pe JOIN ins i ON pe.course_id=i.course_id AND pe.grp=i.grp AND pe.username=i.master_candidate WHERE certified
   UNION ALL BY NAME SELECT * FROM pe WHERE NOT certified AND (course_id, grp, username) IN (SELECT (course_id, grp, harvester_candidate) FROM ins)),
  ra AS (SELECT rw.*, a.nshow_answer_unique_problems, round(a.percent_correct,2) AS percent_correct, a.frac_complete FROM rw JOIN ac a ON rw.course_id=a.course_id AND rw.user_id=a.user_id {cut}),
- rb AS (SELECT * FROM ra QUALIFY {size} count(*) FILTER (certified) OVER w>0 AND count(*) FILTER (NOT certified) OVER w>0 WINDOW w AS (PARTITION BY course_id, grp))"""
+ rb AS (SELECT * FROM ra WINDOW w AS (PARTITION BY course_id, grp) QUALIFY {size} count(*) FILTER (certified) OVER w>0 AND count(*) FILTER (NOT certified) OVER w>0)"""
 V3_COLS = ["course_id", "user_id", "username", "grp", "certified", "verified", "shadow", "show_ans_before", "prob_in_common", "percent_show_ans_before", "median_max_dt_seconds",
            "norm_pearson_corr", "percent_correct", "frac_complete", "time_active_in_days", "nforum_posts", "countryLabel"]
 _V3R = "percent_show_ans_before median_max_dt_seconds norm_pearson_corr percent_correct frac_complete time_active_in_days"
 
 
 @query("A3_ip_pair_groups_v3", sql("ans axis pc pa", rounded(f"SELECT {', '.join(V3_COLS)} FROM rb", _V3R, 5), f"{SAB}, {REV}, {AC}, " + _V3.format(
-    ev="percent_show_ans_before>=20 AND median_max_dt_seconds<5e4 AND norm_pearson_corr>0", cut="WHERE certified OR percent_correct<70", size="count(DISTINCT username) OVER w<10 AND")), digits=5)
+    ev="percent_show_ans_before>=20 AND median_max_dt_seconds<5e4 AND norm_pearson_corr>0", cut="WHERE rw.certified OR a.percent_correct<70", size="count(DISTINCT username) OVER w<10 AND")), digits=5)
 def ip_groups_v3(spark, d):
     return G.ip_groups_v3(T.person_course(spark, d), sab_pairs(spark, d, keep=False), attempts_of(spark, d), group_table(spark, d)).select(*V3_COLS)
 
@@ -329,9 +329,10 @@ def busy_pc(spark, d):
 
 
 @query("A12_problem_check_fingerprint", sql("axis pc", """SELECT course_id, username, user_id, index, strftime(make_timestamp(ft*1000000),'%Y-%m-%d %H:%M:%S.%f') AS time_of_first_check,
- strftime(make_timestamp(lt*1000000),'%Y-%m-%d %H:%M:%S.%f') AS time_of_last_check, round(m,3) AS avg_first_check_s, round((ft-m)/3600,3) AS delta_t_hours FROM fa""", f"{EV}, {FP}"), digits=3)
+ strftime(make_timestamp(lt*1000000),'%Y-%m-%d %H:%M:%S.%f') AS time_of_last_check, round(m,3) AS avg_first_check_s, round((ft-m)/3600,7) AS delta_t_hours FROM fa""", f"{EV}, {FP}"), digits=7)
 def fp_problem_check(spark, d):
-    return A.fp_problem_check(checks_of(spark, d), T.course_axis(spark, d), busy_pc(spark, d))
+    out = A.fp_problem_check(checks_of(spark, d), T.course_axis(spark, d), busy_pc(spark, d))
+    return out.withColumn("avg_first_check_s", F.round("avg_first_check_s", 3))
 
 
 @query("A13_show_answer_fingerprint", sql("axis pc", "SELECT course_id, username, user_id, certified, index, strftime(make_timestamp(t*1000000),'%Y-%m-%d %H:%M:%S.%f') AS time FROM fb", f"{EV}, {FP}"))
