@@ -41,9 +41,9 @@ def _ip(user: Column, last: Column) -> Column:
     )
 
 
-def tracking_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as a course log with nested ``context`` and ``event_struct``."""
-    ev = load(spark, sf_dir, "events").select(
+def tracking_log(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """``events`` (or a stream of its rows) as a course log with nested ``context`` and ``event_struct``."""
+    ev = (load(spark, sf_dir, "events") if events is None else events).select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "value",
         F.col("event_type").alias("t"), F.get_json_object("props", "$.k").cast("long").alias("k"),
     )
@@ -135,6 +135,13 @@ def tracking_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.inline(F.array(row)))
 
 
+def log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The course log as a file stream."""
+    schema = load(spark, sf_dir, "events").schema
+    files = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return tracking_log(spark, sf_dir, files)
+
+
 def person_course(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer`` with order totals and nation as course profiles; even users take two courses."""
     orders = load(spark, sf_dir, "orders").groupBy("o_custkey").agg(
