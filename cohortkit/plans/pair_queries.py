@@ -189,9 +189,9 @@ HIGH = f"""{EV}, ix AS (SELECT course_id, module_id, index FROM axis WHERE categ
  pz AS (SELECT course_id, master_candidate, harvester_candidate, round(quantile_cont((tat-st)::DOUBLE,0.5) FILTER (st<tat),3) AS med, count(*) FILTER (st<tat) AS sab, round(count(*) FILTER (st<tat)/count(*),4)*100 AS psa,
    count(*) AS common, round(avg(tat-st) FILTER (st<tat),3) AS mean, round(corr(st-t0,tat-t0),8) AS nc, round(corr(st-1262304000,tat-1262304000),8) AS uc FROM pp GROUP BY 1,2,3 HAVING count(*) FILTER (st<tat)>10),
  sc AS (SELECT *, coalesce((psa-avg(psa) OVER w)/nullif(stddev_samp(psa) OVER w,0),0)+coalesce(0.5*(sab-avg(sab) OVER w)/nullif(stddev_samp(sab) OVER w,0),0)+coalesce((nc-avg(nc) OVER w)/nullif(stddev_samp(nc) OVER w,0),0)
-   -2*(med-avg(med) OVER w)/nullif(stddev_samp(med) OVER w,0) AS score FROM pz WINDOW w AS (PARTITION BY course_id, master_candidate)),
+   -2*(med-avg(med) OVER w)/nullif(stddev_samp(med) OVER w,0) AS score0, round(score0,9) AS score FROM pz WINDOW w AS (PARTITION BY course_id, master_candidate)),
  best AS (SELECT course_id, master_candidate, harvester_candidate, psa AS percent_show_ans_before, mean AS avg_max_dt_seconds, med AS median_max_dt_seconds, nc AS norm_pearson_corr, uc AS unnormalized_pearson_corr,
-   sab AS show_ans_before, common AS prob_in_common, score AS best_score FROM sc WHERE score IS NOT NULL QUALIFY row_number() OVER (PARTITION BY course_id, master_candidate ORDER BY score DESC)=1)"""
+   sab AS show_ans_before, common AS prob_in_common, score AS best_score FROM sc WHERE score IS NOT NULL QUALIFY rank() OVER (PARTITION BY course_id, master_candidate ORDER BY score DESC)=1)"""
 
 
 @query("A5_show_ans_before_high_score", sql("axis pc", rounded("SELECT * FROM best", "percent_show_ans_before avg_max_dt_seconds median_max_dt_seconds norm_pearson_corr unnormalized_pearson_corr best_score", 3), HIGH), digits=3)
