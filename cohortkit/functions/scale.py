@@ -57,7 +57,7 @@ def salted_lookup(
     broadcast threshold the planner (or AQE, from measured sizes) broadcasts it
     and no salt matters. ``salt_by`` names columns that vary within a key.
     """
-    source = [F.col(c) for c in salt_by] if salt_by else [F.col(c) for c in big.columns if c not in on]
+    source = [F.col(c) for c in salt_by] if salt_by else [F.col(c) for c in big.columns if c not in on] or [F.col(c) for c in on]
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*source), F.lit(salts)).cast("int"))
     spread = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(spread, [*on, "_salt"], how).drop("_salt")
