@@ -22,6 +22,13 @@ def ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
+def safe_corr(x: Column | str, y: Column | str) -> Column:
+    """Pearson correlation over rows with both values; null, not an error, when one of them does not vary."""
+    x, y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
+    xs, ys = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return ratio(F.covar_pop(x, y), F.stddev_pop(xs) * F.stddev_pop(ys))
+
+
 def count_if(cond: Column) -> Column:
     """Number of rows where ``cond`` holds; 0 for no row."""
     return F.count(F.when(cond, F.lit(1)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from cohortkit.functions.keys import plain_module_id
-from cohortkit.functions.scale import count_if, group_quantiles, ratio, salted_lookup
+from cohortkit.functions.scale import count_if, group_quantiles, ratio, safe_corr, salted_lookup
 
 KEY = ["course_id", "user_id"]
 MIN_RESPONSES = 5  # an item needs more responses than this (fixed value)
@@ -290,7 +290,7 @@ def item_reliability(scores: DataFrame, missing: str = "complete") -> DataFrame:
     rest = c("total") - c("y")
     stats = full.groupBy(*item).agg(
         F.count(F.lit(1)).alias("nobs"), F.avg("y").alias("mean"), F.var_samp("y").alias("vy"), F.var_samp(rest).alias("vrest"),
-        F.corr("y", "total").alias("itemtestcorr"), F.corr("y", rest).alias("itemrestcorr"), F.first("k").alias("k"))
+        safe_corr("y", "total").alias("itemtestcorr"), safe_corr("y", rest).alias("itemrestcorr"), F.first("k").alias("k"))
     others = F.sum("vy").over(W.partitionBy("course_id")) - c("vy")  # one row per item of the course
     stats = stats.withColumn("others", others)
     m = c("k") - 1
