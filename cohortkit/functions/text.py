@@ -34,7 +34,13 @@ def text_cost(text: Column) -> Column:
     cost = F.length(text) + 100 * _count(text, r"[\uFFFD\p{Co}]")
     for weight, chars in {**ODD, **ODD_GREMLINS}.items():
         cost = cost + weight * _count(text, f"[{chars}]")
+    return cost + F.when(text.rlike(r"[^\x00-\xff]"), _script_cost(text)).otherwise(F.lit(0))
+
+
+def _script_cost(text: Column) -> Column:
+    """Cost of letters from unlikely or mixed scripts."""
     known = "".join(SCRIPTS.values())
+    cost = F.lit(0)
     for chars in SCRIPTS.values():  # a letter next to one of another script
         cost = cost + 10 * _count(text, rf"(?<=[{chars}&&\p{{L}}])[\p{{L}}&&[^{chars}\x00-\xff]]")
     cost = cost + 2 * _count(text, rf"(?<=\p{{L}})[{SELDOM}&&\p{{L}}]")
@@ -48,15 +54,17 @@ def _as_utf8(text: Column) -> Column:
 
 def _one_round(text: Column) -> Column:
     """The cheapest reading of the text; the text itself on a tie."""
-    narrow = text.rlike(r"^[\x00-\xff]*$")
-    windows = text.rlike(rf"^[\x00-\xff{GREMLINS}]*$")
-    bytes_of = F.translate(text, GREMLINS, CONTROLS)
+    narrow = ~text.rlike(r"[^\x00-\xff]")
+    windows = ~text.rlike(rf"[^\x00-\xff{GREMLINS}]")
+    bytes_of = F.when(narrow, text).otherwise(F.translate(text, GREMLINS, CONTROLS))
     utf8 = F.when(windows, _as_utf8(F.when(windows, bytes_of)))
-    cp1252 = F.when(narrow, F.translate(text, CONTROLS, GREMLINS))
-    # one cost expression runs over the candidates, which keeps the generated code small
+    cp1252 = F.when(narrow & text.rlike(f"[{CONTROLS}]"), F.translate(text, CONTROLS, GREMLINS))
+    # one cost expression runs over the candidates, which keeps the generated code small;
+    # a text without another reading is not costed at all
     readings = F.filter(F.array(text, utf8, cp1252), lambda t: t.isNotNull())
     ranked = F.transform(readings, lambda t, i: F.struct(text_cost(t).cast("double").alias("cost"), i.alias("i"), t.alias("t")))
-    return F.when(text.rlike(r"^[\x00-\x7f]*$") | ~windows, text).otherwise(F.array_min(ranked)["t"])
+    plain = ~text.rlike(r"[^\x00-\x7f]") | ~windows
+    return F.when(plain, text).when(utf8.isNull() & cp1252.isNull(), text).otherwise(F.array_min(ranked)["t"])
 
 
 def repair_text(df: DataFrame, columns: list[str]) -> DataFrame:
