@@ -115,7 +115,7 @@ def _features(extra_where: str) -> str:
    quantile_cont(dt,0.25) AS q25, quantile_cont(dt,0.5) AS median_max_dt_seconds, quantile_cont(dt,0.75) AS percentile75_dt_seconds, quantile_cont(dt,0.9) AS percentile90_dt_seconds, {_Q}, {_X}
    FROM n3 GROUP BY 1,2,3),
   f1 AS (SELECT *, show_ans_before/prob_in_common*100 AS percent_show_ans_before, nsame_ip/prob_in_common*100 AS percent_same_ip, nsame_ip_given_sab/nullif(show_ans_before,0)*100 AS percent_same_ip_given_sab,
-   CASE WHEN sa_dt_p90>0 AND ca_dt_p90>0 THEN 1-abs(ln(sa_dt_p90/ca_dt_p90)) END AS northcutt_ratio, CASE WHEN length(master_candidate)<length(harvester_candidate) THEN master_candidate ELSE harvester_candidate END AS s,
+   CASE WHEN sa_dt_p90>0 AND ca_dt_p90>0 THEN 1-abs(ln(sa_dt_p90/ca_dt_p90)) END AS gap_ratio_p90, CASE WHEN length(master_candidate)<length(harvester_candidate) THEN master_candidate ELSE harvester_candidate END AS s,
    CASE WHEN length(master_candidate)<length(harvester_candidate) THEN harvester_candidate ELSE master_candidate END AS l FROM f0),
   f2 AS (SELECT *, {SIM} AS name_similarity FROM f1)"""
 
@@ -138,10 +138,10 @@ _KEEP = f"""lk AS (SELECT f2.*, sa_ca_dt_corr_ordered, sa_ca_dt_chi_sq_ordered,
 A6_COLS = ["course_id", "master_candidate", "harvester_candidate", "prob_in_common", "show_ans_before", "percent_show_ans_before", "nsame_ip", "percent_same_ip", "percent_same_ip_given_sab",
            "avg_max_dt_seconds", "dt_std_dev", "norm_pearson_corr", "unnormalized_pearson_corr", "sa_ca_dt_correlation", "ncorrect", "percent_attempts_correct", "median_max_dt_seconds",
            "percentile75_dt_seconds", "percentile90_dt_seconds", "sa_dt_p50", "sa_dt_p90", "ca_dt_p50", "ca_dt_p90", "dt_dt_p05", "dt_dt_p95", "x05m", "x01h", "x01h_same_ip", "x01d", "x05d",
-           "northcutt_ratio", "name_similarity", "sa_ca_dt_corr_ordered", "CH_mcfr_cnt", "CH_nblank_fr_submissions"]
+           "gap_ratio_p90", "name_similarity", "sa_ca_dt_corr_ordered", "CH_mcfr_cnt", "CH_nblank_fr_submissions"]
 _R6 = {"avg_max_dt_seconds", "dt_std_dev", "norm_pearson_corr", "unnormalized_pearson_corr", "sa_ca_dt_correlation", "percent_attempts_correct", "percent_show_ans_before", "percent_same_ip",
        "percent_same_ip_given_sab", "median_max_dt_seconds", "percentile75_dt_seconds", "percentile90_dt_seconds", "sa_dt_p50", "sa_dt_p90", "ca_dt_p50", "ca_dt_p90", "dt_dt_p05", "dt_dt_p95",
-       "northcutt_ratio", "name_similarity", "sa_ca_dt_corr_ordered"}
+       "gap_ratio_p90", "name_similarity", "sa_ca_dt_corr_ordered"}
 _SEL = ", ".join(f"round({x},5) AS {x}" if x in _R6 else x for x in A6_COLS)
 _T0 = "t0s AS (SELECT course_id, module_id, min(t) AS t0 FROM chk GROUP BY 1,2), nat AS (SELECT course_id, username, count(DISTINCT (module_id, attempts)) AS nattempts FROM chk GROUP BY 1,2)"
 SAB = f"""{EV}, {RESP}, {_T0},
