@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortkit.llm import mixing, secrets, shards, warc
+from cohortkit.llm import mixing, packing, secrets, shards, simhash, warc
 from cohortkit.llm.common import table
 from cohortkit.session import scratch_path
 
@@ -97,3 +97,23 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def public_tokenizer() -> str:
+    """The tokenizer file of the packing query."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op7_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document in windows of 2048 ids."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizer())
+
+
+@query("op8_simhash")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
