@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortkit.llm import mixing, packing, secrets, shards, simhash, warc
+from cohortkit.llm import hamming, mixing, packing, secrets, shards, simhash, warc
 from cohortkit.llm.common import table
 from cohortkit.session import scratch_path
 
@@ -117,3 +117,20 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+HAMMING_SQL = """
+WITH c AS (SELECT DISTINCT vec_id, list_reduce(list_transform(range(64), lambda i: CASE WHEN embedding[i + 1] > 0 THEN 1::UBIGINT << i ELSE 0::UBIGINT END),
+        lambda a, x: a | x) AS code FROM embeddings),
+p AS (SELECT q.vec_id AS query_id, x.vec_id AS neighbor_id, bit_count(xor(q.code, x.code))::BIGINT AS distance
+      FROM c q JOIN c x ON q.vec_id % 20 = 0 AND q.vec_id != x.vec_id)
+SELECT query_id, rank, neighbor_id, distance FROM
+  (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank FROM p) WHERE rank <= 10
+"""
+
+
+@query("op9_hamming_top_k", HAMMING_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest sign codes of every vector whose id is divisible by 20, among all."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return hamming.top_k(vectors, vectors.filter("vec_id % 20 = 0"))
