@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortkit.llm import hamming, mixing, packing, secrets, shards, simhash, warc
+from cohortkit.llm import hamming, langid, mixing, packing, secrets, shards, simhash, warc
 from cohortkit.llm.common import table
 from cohortkit.session import scratch_path
 
@@ -134,3 +134,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest sign codes of every vector whose id is divisible by 20, among all."""
     vectors = table(spark, sf_dir, "embeddings")
     return hamming.top_k(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
+@query("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by code lengths under byte context trees."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.learn(langid.sample_texts(docs)))
