@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortkit.llm import hamming, langid, mixing, packing, secrets, shards, simhash, warc
+from cohortkit.llm import hamming, langid, mixing, packing, perplexity, secrets, shards, simhash, warc
 from cohortkit.llm.common import table
 from cohortkit.session import scratch_path
 
@@ -141,3 +141,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by code lengths under byte context trees."""
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.learn(langid.sample_texts(docs)))
+
+
+@query("op3_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures and perplexity verdict of every document."""
+    return perplexity.judge_quality(table(spark, sf_dir, "documents"))
