@@ -71,23 +71,29 @@ def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
 
 
 def _segments(spark: SparkSession, path: str) -> DataFrame:
-    """(file, block, seq, offset, length, data): the texts between occurrences of the magic, with the offset of the magic before each.
+    """(file, block, seq, data): the texts between occurrences of the magic, in order of seq within a block.
+
+    Written once as read, without a shuffle, so that seq is fixed.
+    """
+    c = F.col
+    return staged(spark.read.text(path, lineSep=MAGIC).select(
+        c("_metadata.file_path").alias("file"), c("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"), c("value").cast("binary").alias("data")), "warc-segments")
+
+
+def _offsets(lengths: DataFrame) -> DataFrame:
+    """``lengths`` (file, block, seq, length, ...) with the offset of the magic before each segment.
 
     Segments tile a file, so offsets are sums of lengths: within a block over its own
     segments, across blocks over one number per block. No window holds a file's rows.
     """
     c = F.col
-    raw = spark.read.text(path, lineSep=MAGIC).select(
-        c("_metadata.file_path").alias("file"), c("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("seq"), c("value").cast("binary").alias("data"))
-    raw = raw.withColumn("length", F.octet_length("data").cast("long") + len(MAGIC))
-    sums = raw.groupBy("file", "block").agg(F.sum("length").alias("total"))
+    step = c("length") + len(MAGIC)
+    sums = lengths.groupBy("file", "block").agg(F.sum(step).alias("total"))
     ahead = sums.select("file", "block", F.coalesce(F.sum("total").over(
         W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
-    slim = raw.select("file", "block", "seq", "length").join(ahead, ["file", "block"])
-    inside = F.coalesce(F.sum("length").over(W.partitionBy("file", "block").orderBy("seq").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    placed = slim.select("file", "block", "seq", (c("ahead") + inside - len(MAGIC)).alias("offset"))
-    return raw.join(placed, ["file", "block", "seq"])
+    inside = F.coalesce(F.sum(step).over(W.partitionBy("file", "block").orderBy("seq").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return lengths.join(ahead, ["file", "block"]).withColumn("offset", c("ahead") + inside - len(MAGIC)).drop("ahead")
 
 
 def _field(header: Column, name: str) -> Column:
@@ -118,52 +124,58 @@ def reachable(candidates: DataFrame) -> DataFrame:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """(file, offset, header, payload) of the verified records below ``path``.
+    """(header, payload) of the verified records below ``path``.
 
     A candidate's declared end must be the next candidate's start or the file's end for the
-    chain to go on; bytes after a broken chain are not records. Payloads that hold the magic
-    are put together from their segments. No archive gives an empty result.
+    chain to go on; bytes after a broken chain are not records, and the record at the break has
+    the bytes that are there. Payloads that hold the magic
+    are put together from their segments: these are looked up in the list of segments that
+    are not a record by themselves, and only they are shuffled. Files without a record give
+    no rows.
     """
     c = F.col
-    seg = staged(_segments(spark, path), "warc-segments")
-    cut = F.locate(HEADER_END, c("data").cast("string").substr(F.lit(1), F.lit(1 << 30)))
-    at = F.when(cut > 0, F.octet_length(F.substring_index(c("data").cast("string"), HEADER_END, 1)))
-    header = F.when(at.isNotNull(), F.substring_index(c("data").cast("string"), HEADER_END, 1))
-    declared = F.expr("try_cast(_len AS BIGINT)")
-    starts = (seg.filter("offset >= 0").select("file", "block", "offset", header.alias("_header"), at.alias("_at"))
-              .withColumn("_len", F.when(c("_header").isNotNull(), _field(c("_header"), "Content-Length")))
-              .select("file", "block", "offset", (c("offset") + len(MAGIC) + c("_at") + len(HEADER_END) + declared + len(RECORD_END)).alias("next")))
-    good = reachable(starts).withColumn("start", c("offset"))
-    marked = seg.filter("offset >= 0").select("file", "block", "offset").join(good, ["file", "offset"], "left")
+    seg = _segments(spark, path)
+    text = c("data").cast("string")
+    cut = F.locate(HEADER_END, text) > 0
+    head = F.substring_index(text, HEADER_END, 1)
+    slim = seg.select("file", "block", "seq", F.octet_length("data").cast("long").alias("length"), F.when(cut, F.octet_length(head)).alias("_at"),
+                      F.when(cut, _field(head, "Content-Length")).alias("_len"))
+    following = c("offset") + len(MAGIC) + c("_at") + len(HEADER_END) + F.expr("try_cast(_len AS BIGINT)") + len(RECORD_END)
+    placed = staged(_offsets(slim).select("file", "block", "seq", "offset", following.alias("next")), "warc-offsets")
+    slim = placed.filter("offset >= 0")
+    good = reachable(slim).withColumn("start", c("offset"))
+    marked = staged(slim.select("file", "block", "seq", "offset").join(good, ["file", "offset"], "left"), "warc-marked")
     last = W.partitionBy("file").orderBy("block")
     carried = marked.groupBy("file", "block").agg(F.max("start").alias("_last")).select(
         "file", "block", F.max("_last").over(last.rowsBetween(W.unboundedPreceding, -1)).alias("_before"))
     inside = W.partitionBy("file", "block").orderBy("offset").rowsBetween(W.unboundedPreceding, 0)
-    owned = marked.join(carried, ["file", "block"], "left").select("file", "offset", F.coalesce(F.max("start").over(inside), c("_before")).alias("record"))
-    owned = owned.filter("record IS NOT NULL")
-    parts = seg.select("file", "offset", "data").join(owned, ["file", "offset"])
-    whole = parts.groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("offset", "data"))).alias("parts"))
-    joined = F.when(F.size("parts") == 1, c("parts")[0]["data"]).otherwise(
-        F.aggregate(F.slice("parts", 2, 1 << 30), c("parts")[0]["data"], lambda a, p: F.concat(a, F.lit(MAGIC).cast("binary"), p["data"])))
-    text = joined.cast("string")
-    head = F.substring_index(text, HEADER_END, 1)
-    rows = whole.select("file", c("record").alias("offset"), joined.alias("_data"), head.alias("header"))
+    owned = marked.join(carried, ["file", "block"], "left").withColumn("record", F.coalesce(F.max("start").over(inside), c("_before")))
+    extra = staged(owned.filter("start IS NULL").select("file", "block", "seq", "offset", "record"), "warc-extra")
+    owners = marked.join(extra.select("file", c("record").alias("offset")).distinct(), ["file", "offset"], "left_semi")
+    before = placed.filter("offset < 0").select("file", "block", "seq", "offset", F.lit(None).cast("long").alias("record"))
+    several = owners.select("file", "block", "seq", "offset", c("offset").alias("record"))
+    odd = staged(extra.unionByName(several).unionByName(before).withColumn("odd", F.lit(True)), "warc-odd")
+    told = seg.join(odd, ["file", "block", "seq"], "left")
+    parts = told.filter("odd AND record IS NOT NULL").groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("offset", "data"))).alias("parts"))
+    joined = F.aggregate(F.slice("parts", 2, 1 << 30), c("parts")[0]["data"], lambda a, p: F.concat(a, F.lit(MAGIC).cast("binary"), p["data"]))
+    whole = told.filter("odd IS NULL").select("data").unionByName(parts.select(joined.alias("data")))
+    rows = whole.withColumn("header", head).withColumn("_len", _field(c("header"), "Content-Length"))
     size = F.coalesce(F.expr("try_cast(_len AS INT)"), F.lit(0))
-    return rows.withColumn("_len", _field(c("header"), "Content-Length")).select(
-        "file", "offset", "header", F.substring("_data", F.octet_length("header") + len(HEADER_END) + 1, size).alias("payload"))
+    return rows.select("header", F.substring("data", F.octet_length("header") + len(HEADER_END) + 1, size).alias("payload"))
 
 
 def archived_pages(records: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of read records.
 
-    Length and digest are taken from the payload read; a revisit has those of the response
-    that it refers to.
+    Length and digest are taken from the payload read; a revisit has the length of the
+    response that it names by id and digest, null if that is missing.
     """
     c = F.col
     number = lambda field: F.expr(f"try_cast(nullif(regexp_extract({field}, '{RECORD_URN}(-?[0-9]+)', 1), '') AS BIGINT)")
     rows = records.select(
         _field(c("header"), "WARC-Type").alias("record_type"), _field(c("header"), "WARC-Record-ID").alias("_id"), _field(c("header"), "WARC-Refers-To").alias("_to"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(c("payload")).alias("payload_digest"))
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.when(_field(c("header"), "WARC-Type") == "revisit", F.regexp_replace(_field(c("header"), "WARC-Payload-Digest"), "^sha1:", "")).otherwise(base32_sha1(c("payload"))).alias("payload_digest"))
     rows = staged(rows.select(number("_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("_to").alias("refers_to")), "warc-pages")
     own = rows.filter("record_type != 'revisit'")
     known = own.groupBy(c("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("payload_bytes"))
