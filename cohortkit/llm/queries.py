@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortkit.llm import hamming, langid, mixing, packing, perplexity, secrets, shards, simhash, warc
+from cohortkit.llm import hamming, langid, mixing, packing, perplexity, secrets, shards, simhash, toxicity, warc
 from cohortkit.llm.common import table
 from cohortkit.session import scratch_path
 
@@ -147,3 +147,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base figures and perplexity verdict of every document."""
     return perplexity.judge_quality(table(spark, sf_dir, "documents"))
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.fit(*toxicity.sample_labelled(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score_toxicity(docs, machine)
