@@ -18,8 +18,8 @@ from cohortkit.llm.common import staged
 
 #: Bits of a code and of a segment, neighbours wanted.
 BITS, SEGMENT, K = 64, 16, 10
-#: Codes and queries that meet in one task at most.
-CODES, QUERIES = 1 << 18, 1 << 14
+#: Codes and queries that meet in one task at most; least number of blocks of codes.
+CODES, QUERIES, BLOCKS = 1 << 18, 1 << 12, 24
 #: Parts in which the ids of one code are cut to the smallest.
 SALTS = 32
 
@@ -115,10 +115,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS,
     fewer rows; empty tables give an empty result.
     """
     c = F.col
-    spark = vectors.sparkSession
     index = staged(_least_ids(sign_codes(vectors, bits).filter("vec_id IS NOT NULL").distinct(), k + 1), "hamming-index")
     asked = staged(sign_codes(queries, bits).filter("vec_id IS NOT NULL").distinct(), "hamming-queries")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-index.count() // CODES))
+    parts = max(BLOCKS, -(-index.count() // CODES))
     q_parts = -(-max(1, asked.count()) // QUERIES)
     every = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
     block = lambda n, name: F.pmod(F.xxhash64("code"), F.lit(n)).cast("int").alias(name)
