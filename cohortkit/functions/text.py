@@ -22,7 +22,6 @@ SCRIPTS = {
     "cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}", "hebrew": r"\p{IsHebrew}", "devanagari": r"\p{IsDevanagari}", "thai": r"\p{IsThai}",
 }
 SELDOM = r"\p{IsBengali}\p{IsLao}\p{IsKhmer}\p{IsTelugu}\p{IsMalayalam}\p{IsSinhala}\p{IsTamil}\p{IsGeorgian}\p{IsArmenian}\p{IsKannada}"
-ROUNDS = 3
 
 
 def _count(text: Column, pattern: str) -> Column:
@@ -67,9 +66,24 @@ def _one_round(text: Column) -> Column:
     return F.when(plain, text).when(utf8.isNull() & cp1252.isNull(), text).otherwise(F.array_min(ranked)["t"])
 
 
+def repaired(text: Column) -> Column:
+    """The reading at which no round finds a better one.
+
+    A wrong decoding makes at least two characters of each it touches, and a change of
+    character set comes at most once between two decodings, so twice the logarithm of the
+    length is enough rounds for any text. A settled text is passed on unread.
+    """
+    start = F.struct(text.alias("t"), F.lit(False).alias("settled"))
+    rounds = F.sequence(F.lit(0), (2 * F.ceil(F.log2(F.length(text) + 1)) + 1).cast("int"))
+
+    def step(a: Column, _: Column) -> Column:
+        better = F.transform(F.array(a["t"]), _one_round)
+        after = lambda t: F.struct(t.alias("t"), (t == a["t"]).alias("settled"))
+        return F.when(a["settled"], a).otherwise(F.element_at(F.transform(better, after), 1))
+
+    return F.when(text.rlike(r"[^\x00-\x7f]"), F.aggregate(rounds, start, step, lambda a: a["t"])).otherwise(text)
+
+
 def repair_text(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Replaces the named columns by their most plausible reading, up to three levels deep."""
-    for col in columns:
-        for _ in range(ROUNDS):
-            df = df.withColumn(col, _one_round(F.col(col)))
-    return df
+    """Replaces the named columns by their most plausible reading, however deep the wrong decodings go."""
+    return df.withColumns({col: repaired(F.col(col)) for col in columns})
