@@ -22,7 +22,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     executors, and later steps read only the columns they use.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -31,8 +31,13 @@ def base32_sha1(payload: Column) -> Column:
     return F.concat(*[pick(v, bits) for v in groups for bits in (15, 10, 5, 0)])
 
 
-def decide_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
-    """``pages`` with payload, digest, refers_to (null for responses).
+def _with_digest(pages: DataFrame) -> DataFrame:
+    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    return pages.select("page_id", "url", payload.alias("payload")).withColumn("digest", base32_sha1(F.col("payload")))
+
+
+def revisits(pages: DataFrame, least: int = 0) -> DataFrame:
+    """(page_id, url, digest, refers_to) of the rows that repeat an earlier page's payload; no payload is moved.
 
     Among payloads of at least ``least`` bytes that are equal, the row with the smallest
     page_id is the response. Rows that share that smallest id are all responses; null ids
@@ -40,33 +45,35 @@ def decide_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
     combining aggregate; joining them back splits a digest with very many pages (AQE).
     """
     c = F.col
-    rows = pages.select("page_id", "url", F.coalesce(c("html"), F.lit("")).cast("binary").alias("payload")).withColumn("digest", base32_sha1(c("payload")))
-    long_enough = F.octet_length("payload") >= least
-    first = rows.filter(long_enough).groupBy("digest").agg(F.min("page_id").alias("first_id"))
-    revisit = long_enough & c("first_id").isNotNull() & ~c("page_id").eqNullSafe(c("first_id"))
-    return rows.join(first, "digest", "left").select("page_id", "url", "payload", "digest", F.when(revisit, c("first_id")).alias("refers_to"))
+    rows = _with_digest(pages).filter(F.octet_length("payload") >= least).drop("payload")
+    first = rows.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1 AND refers_to IS NOT NULL").drop("n")
+    return rows.join(first, "digest").filter(~c("page_id").eqNullSafe(c("refers_to"))).select("page_id", "url", "digest", "refers_to")
 
 
 def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
     """One WARC record per row of ``pages`` (page_id, url, html) below ``path``.
 
     A record is a line of text without its last line feed, so Spark's text writer lays down
-    the exact bytes and commits whole files only. Revisits have no payload. A null html is
-    an empty payload, a null url an empty target; line breaks in a url become spaces.
+    the exact bytes and commits whole files only. Revisits have no payload and are written
+    from their short rows; responses are the other rows, told apart by id and digest, for
+    which payloads move only if the list of revisits is too long for Spark to broadcast. A
+    null html is an empty payload, a null url an empty target; line breaks in a url become
+    spaces.
     """
     c = F.col
-    rows = decide_revisits(pages, least)
-    fresh = c("refers_to").isNull()
-    body = F.when(fresh, c("payload")).otherwise(F.lit(b""))
-    url = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]+", " ")
+    again = staged(revisits(pages, least), "warc-revisits")
+    listed = again.select(c("page_id").alias("_id"), F.xxhash64("digest").alias("_hash"))
+    rows = _with_digest(pages)
+    fresh = rows.join(listed, c("page_id").eqNullSafe(c("_id")) & (F.xxhash64("digest") == c("_hash")), "left_anti")
+    rows = fresh.withColumn("refers_to", F.lit(None).cast("long")).unionByName(again.withColumn("payload", F.lit(b"")))
     name = lambda x: F.concat(F.lit("<" + RECORD_URN), F.coalesce(x.cast("string"), F.lit("none")), F.lit(">\r\n"))
     header = F.concat(
-        F.lit(MAGIC), F.lit("WARC-Type: "), F.when(fresh, F.lit("response")).otherwise(F.lit("revisit")), F.lit("\r\n"),
-        F.lit("WARC-Record-ID: "), name(c("page_id")), F.lit("WARC-Target-URI: "), url, F.lit("\r\n"),
+        F.lit(MAGIC), F.lit("WARC-Type: "), F.when(c("refers_to").isNull(), F.lit("response")).otherwise(F.lit("revisit")), F.lit("\r\n"),
+        F.lit("WARC-Record-ID: "), name(c("page_id")), F.lit("WARC-Target-URI: "), F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]+", " "), F.lit("\r\n"),
         F.lit("WARC-Payload-Digest: sha1:"), c("digest"), F.lit("\r\n"),
-        F.when(fresh, F.lit("")).otherwise(F.concat(F.lit("WARC-Refers-To: "), name(c("refers_to")))),
-        F.lit("Content-Length: "), F.octet_length(body).cast("string"), F.lit(HEADER_END))
-    line = F.concat(header.cast("binary"), body, F.lit(RECORD_END[:-1]).cast("binary")).cast("string")
+        F.when(c("refers_to").isNull(), F.lit("")).otherwise(F.concat(F.lit("WARC-Refers-To: "), name(c("refers_to")))),
+        F.lit("Content-Length: "), F.octet_length("payload").cast("string"), F.lit(HEADER_END))
+    line = F.concat(header.cast("binary"), c("payload"), F.lit(RECORD_END[:-1]).cast("binary")).cast("string")
     rows.select(line.alias("value")).write.text(path, lineSep="\n")
 
 
