@@ -39,8 +39,20 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     return per.select("source", "source_size", F.least((most * c("source_size")).cast("double"), level * c("weight")).alias("target"))
 
 
+def _drawn(docs: DataFrame, seed: str = "mix", **rules) -> DataFrame:
+    """``docs`` with its figures in columns whose names begin with _mix_."""
+    c = F.col
+    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    targets = staged(source_targets(docs.select("source", words.alias("size")), **rules), "mix-targets")
+    targets = targets.select(*[c(x).alias(f"_mix_{x}") for x in targets.columns])
+    joined = docs.withColumn("_mix_size", words).join(targets, c("source").eqNullSafe(c("_mix_source")), "left")
+    rate = F.coalesce(c("_mix_target") / c("_mix_source_size"), F.lit(0.0))
+    copies = F.floor(rate) + F.when(unit_hash(F.lit(seed), c("doc_id")) < rate - F.floor(rate), 1).otherwise(0)
+    return joined.withColumn("_mix_copies", copies.cast("int"))
+
+
 def plan_mix(docs: DataFrame, seed: str = "mix", **rules) -> DataFrame:
-    """The input's columns plus size, source_size, target, copies.
+    """(doc_id, source, size, source_size, target, copies), one row per document.
 
     Sizes are words of the text (null: 0). A null source is a source of its own and comes
     last. An empty source has target 0; a document of size 0 may be emitted but takes
@@ -48,18 +60,10 @@ def plan_mix(docs: DataFrame, seed: str = "mix", **rules) -> DataFrame:
     rows are drawn alike; a null doc_id draws as an empty one. An empty table gives an
     empty result.
     """
-    c = F.col
-    own = [x for x in docs.columns if x not in ("size", "source_size", "target", "copies")]
-    sized = docs.select(*[c(f"`{x}`") for x in own], F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    slim = docs.select("source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    targets = staged(source_targets(slim, **rules), "mix-targets").withColumnRenamed("source", "_source")
-    rate = F.coalesce(c("target") / c("source_size"), F.lit(0.0))
-    joined = sized.join(targets, c("source").eqNullSafe(c("_source")), "left").drop("_source")
-    copies = F.floor(rate) + F.when(unit_hash(F.lit(seed), c("doc_id")) < rate - F.floor(rate), 1).otherwise(0)
-    return joined.withColumn("copies", copies.cast("int"))
+    return _drawn(docs, seed, **rules).select("doc_id", "source", *[F.col(f"_mix_{x}").alias(x) for x in ("size", "source_size", "target", "copies")])
 
 
-def mix(docs: DataFrame, **rules) -> DataFrame:
+def mix(docs: DataFrame, seed: str = "mix", **rules) -> DataFrame:
     """The mixed documents, with the input's columns; a document appears ``copies`` times."""
-    plan = plan_mix(docs, **rules).filter("copies > 0")
-    return plan.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*[F.col(f"`{x}`") for x in docs.columns])
+    drawn = _drawn(docs, seed, **rules).filter("_mix_copies > 0")
+    return drawn.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*[F.col(f"`{x}`") for x in docs.columns])

@@ -125,16 +125,16 @@ def redact_secrets(docs: DataFrame, owner: str = "source", max_owners: int = OWN
     """
     c = F.col
     found = staged(with_candidates(docs, owner), "secret-candidates")
-    flagged = staged(flagged_spans(found, max_owners=max_owners), "secret-spans").filter(F.size("spans") > 0).withColumnRenamed("digest", "_digest").withColumnRenamed("spans", "_spans")
+    flagged = staged(flagged_spans(found, max_owners=max_owners), "secret-spans").filter(F.size("spans") > 0).select(F.col("digest").alias("_redact_digest"), F.col("spans").alias("_redact_spans"))
     text = F.coalesce(c("text"), F.lit(""))
-    keyed = docs.withColumn("_key", F.md5(text.cast("binary")))
-    joined = keyed.join(flagged, c("_key") == c("_digest"), "left")
+    keyed = docs.withColumn("_redact_key", F.md5(text.cast("binary")))
+    joined = keyed.join(flagged, c("_redact_key") == c("_redact_digest"), "left")
     seen = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     step = lambda a, s: F.when(s["start"] >= a["at"], F.struct(
         F.concat(a["out"], F.substr(c("text"), a["at"] + 1, s["start"] - a["at"]), F.lit(mask)).alias("out"), s["end"].alias("at"))).otherwise(
         F.struct(a["out"].alias("out"), F.greatest(a["at"], s["end"]).alias("at")))
-    clean = F.aggregate("_spans", seen, step, lambda a: F.concat(a["out"], F.substr(c("text"), a["at"] + 1)))
-    out = joined.withColumn("text", F.when(c("_spans").isNull(), c("text")).otherwise(clean))
+    clean = F.aggregate("_redact_spans", seen, step, lambda a: F.concat(a["out"], F.substr(c("text"), a["at"] + 1)))
+    out = joined.withColumn("text", F.when(c("_redact_spans").isNull(), c("text")).otherwise(clean))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(c("_spans").isNull(), c("n_chars")).otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(c("_redact_spans").isNull(), c("n_chars")).otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*[c(f"`{x}`") for x in docs.columns])
