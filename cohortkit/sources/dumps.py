@@ -44,13 +44,14 @@ def _at(json: str, path: str) -> Column:
     return F.get_json_object(json, path)
 
 
-def _date(json: str, field: str) -> Column:
-    """An exported date: milliseconds since the epoch or text."""
+def _date(json: str, field: str, compat: bool = False) -> Column:
+    """An exported date: milliseconds since the epoch or text, of which ``compat`` reads whole minutes without a zone."""
     raw = _at(json, f"$['{field}']['$date']")
-    return F.coalesce(F.timestamp_millis(raw.try_cast("long")), F.try_to_timestamp(F.substr(raw, F.lit(1), F.lit(16)), F.lit("yyyy-MM-dd'T'HH:mm")))
+    minute = F.try_to_timestamp(F.substr(raw, F.lit(1), F.lit(16)), F.lit("yyyy-MM-dd'T'HH:mm"))
+    return F.coalesce(F.timestamp_millis(raw.try_cast("long")), *([] if compat else [F.try_to_timestamp(raw)]), minute)
 
 
-def rephrase_forum(lines: DataFrame, column: str = "value") -> DataFrame:
+def rephrase_forum(lines: DataFrame, column: str = "value", compat: bool = False) -> DataFrame:
     """Exported forum documents as flat rows: keys and dates unwrapped, lists as text, dropped fields left out."""
     oid = lambda f: _at(column, f"$['{f}']['$oid']")
     text = lambda f: _at(column, f"$['{f}']")
@@ -60,8 +61,8 @@ def rephrase_forum(lines: DataFrame, column: str = "value") -> DataFrame:
         oid("_id").alias("mongoid"), text("_type").alias("_type"), text("author_id").try_cast("long").alias("author_id"),
         text("author_username").alias("author_username"), oid("comment_thread_id").alias("comment_thread_id"), oid("parent_id").alias("parent_id"),
         F.array_join(F.transform(ids, lambda x: x["$oid"]), " ").alias("parent_ids"), text("title").alias("title"), text("body").alias("body"),
-        _date(column, "created_at").alias("created_at"), _date(column, "updated_at").alias("updated_at"),
-        _date(column, "last_activity_at").alias("last_activity_at"), text("pinned").try_cast("boolean").alias("pinned"),
+        _date(column, "created_at", compat).alias("created_at"), _date(column, "updated_at", compat).alias("updated_at"),
+        _date(column, "last_activity_at", compat).alias("last_activity_at"), text("pinned").try_cast("boolean").alias("pinned"),
         text("endorsed").try_cast("boolean").alias("endorsed"), _at(column, "$.votes.count").try_cast("long").alias("votes_count"),
         _at(column, "$.votes.up").alias("votes_up"), _at(column, "$.votes.down").alias("votes_down"),
         *[text(f).alias(f) for f in ("abuse_flaggers", "historical_abuse_flaggers", "at_position_list", "tags_array")], end.alias("endorsement"))

@@ -5,7 +5,7 @@ import json
 
 from cohortkit.functions.text import repair_text
 from cohortkit.operators.events import time_on_task
-from cohortkit.sources import logs as L
+from cohortkit.sources import dumps as D, logs as L
 from cohortkit.streaming import incremental as N
 
 BASE = {"course_id": "O/C/R", "time": "2024-01-01T00:00:00Z", "username": "u", "event_type": "t"}
@@ -74,3 +74,10 @@ def test_text_is_repaired_at_any_depth(spark):
         text = text.encode().decode("latin-1")
         rows.append((text,))
     assert {r.a for r in repair_text(spark.createDataFrame(rows, "a string"), ["a"]).collect()} == {plain}
+
+
+def test_forum_dates_keep_seconds_and_zone(spark):
+    lines = _lines(spark, {"_id": {"$oid": "a"}, "created_at": {"$date": "2014-01-02T05:06:07.25+02:00"}, "updated_at": {"$date": 1388628367000}})
+    r, old = D.rephrase_forum(lines).first(), D.rephrase_forum(lines, compat=True).first()
+    assert r.created_at == datetime.datetime(2014, 1, 2, 3, 6, 7, 250000) and r.updated_at == datetime.datetime(2014, 1, 2, 2, 6, 7)
+    assert old.created_at == datetime.datetime(2014, 1, 2, 5, 6)
