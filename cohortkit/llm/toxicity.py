@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from cohortkit.llm.common import held_out, unit_hash
+from cohortkit.llm.common import held_out, staged, unit_hash
 
 #: Length of the subsequences, weight of each character that one spans.
 LENGTH, DECAY = 3, 0.6
@@ -293,16 +293,20 @@ def fit(texts: list[str], labels: list[int]) -> Machine:
 def sample_labelled(docs: DataFrame, labels: DataFrame, n: int = SAMPLE_TEXTS, most_chars: int = SAMPLE_CHARS) -> tuple[list[str], list[int]]:
     """At most ``n`` texts of each label, none held out or longer than ``most_chars``, chosen by a hash of the id.
 
-    Documents with several labels count as toxic if one of them says so.
+    Documents with several labels count as toxic if one of them says so; repeated rows count
+    once. Ids and hashes are drawn first, so that only the chosen texts (at most ``n`` of each
+    label) are moved.
     """
     c = F.col
     marked = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.select("doc_id", "text").filter(~held_out() & (F.char_length("text") <= most_chars)).join(marked, "doc_id")
-    rows = rows.withColumn("u", unit_hash(F.lit("toxic"), c("doc_id")))
     share = marked.filter(~held_out()).groupBy("toxic").count()
-    thin = rows.join(share, "toxic").filter(c("u") <= 3.0 * n / c("count"))
-    ranked = thin.withColumn("r", F.row_number().over(W.partitionBy("toxic").orderBy("u", "doc_id", "text"))).filter(c("r") <= n)
-    got = ranked.select("toxic", "text").collect()
+    drawn = marked.filter(~held_out()).withColumn("u", unit_hash(F.lit("toxic"), c("doc_id"))).join(share, "toxic").filter(c("u") <= 3.0 * n / c("count"))
+    short = docs.filter(~held_out() & (F.char_length("text") <= most_chars)).select("doc_id", "text").withColumn("code", F.xxhash64("text"))
+    rows = short.select("doc_id", "code").join(drawn, "doc_id").distinct()
+    ranked = rows.withColumn("r", F.row_number().over(W.partitionBy("toxic").orderBy("u", "doc_id", "code"))).filter(c("r") <= n)
+    chosen = staged(ranked.select("doc_id", "code", "toxic", "u"), "toxic-sample")
+    picked = short.join(chosen, ["doc_id", "code"]).groupBy("doc_id", "code", "toxic", "u").agg(F.first("text").alias("text"))
+    got = picked.orderBy("u", "doc_id", "code").select("toxic", "text").collect()
     return [r["text"] for r in got], [int(r["toxic"]) for r in got]
 
 
