@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
-from cohortkit.llm.common import held_out, unit_hash
+from cohortkit.llm.common import held_out, staged, unit_hash
 
 #: Longest context in bytes (7 at most); a text is read as if so many line feeds preceded it.
 ORDER = 4
@@ -167,12 +167,13 @@ def sample_texts(docs: DataFrame, n: int = SAMPLE_TEXTS, most_bytes: int = SAMPL
     """At most ``n`` texts of each language, none of a held-out document or of more than ``most_bytes``.
 
     A hash of the id chooses them. Rows are thinned by each language's share before they are
-    ranked, so ranking sees a few times the sample and not a language's rows.
+    ranked, so ranking sees a few times the sample and not a language's rows. The counts are
+    written first: as a small table they reach the documents without moving any text.
     """
     c = F.col
     rows = docs.select("doc_id", "lang", "text").filter(~held_out() & c("lang").isNotNull() & (F.octet_length("text") <= most_bytes))
     rows = rows.withColumn("u", unit_hash(F.lit("lang"), c("doc_id"), c("lang")))
-    counts = rows.groupBy("lang").count()
+    counts = staged(rows.groupBy("lang").count(), "lang-counts")
     thin = rows.join(counts, "lang").filter(c("u") <= 3.0 * n / c("count"))
     ranked = thin.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("u", "doc_id", "text"))).filter(c("r") <= n)
     texts: dict[str, list[bytes]] = {}
