@@ -110,7 +110,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS,
     neighbours. Equal codes are one entry with its k+1 smallest ids, which is all that any
     result can show of them, and equal queries are searched once. Codes and queries are
     dealt out in blocks, and each block of queries meets each block of codes in a task that
-    builds the segment tables of its codes. Rows without an id are left out of both sides,
+    builds the segment tables of its codes; rows are few for the work they make, so the number
+    of tasks is stated and not left to their bytes. Rows without an id are left out of both sides,
     since a result could not name them; repeated ids count once. Fewer than k other ids give
     fewer rows; empty tables give an empty result.
     """
@@ -134,7 +135,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, bits: int = BITS,
                 found.append(pd.DataFrame({"q": q, "code": own[at], "n": tables.weights[at], "distance": distances.astype(np.int32)}))
         return pd.concat(found) if found else pd.DataFrame({"q": [], "code": [], "n": [], "distance": []})
 
-    met = left.groupBy("part", "q_part").cogroup(right.groupBy("part", "q_part")).applyInPandas(search, "q long, code long, n int, distance int")
+    dealt = lambda rows: rows.repartition(parts * q_parts, "part", "q_part").groupBy("part", "q_part")
+    met = dealt(left).cogroup(dealt(right)).applyInPandas(search, "q long, code long, n int, distance int")
     best = _nearest(staged(met, "hamming-found"), k)
     named = best.join(index, "code").select("q", "distance", F.explode("ids").alias("neighbor_id"))
     order = lambda by: W.partitionBy(by).orderBy("distance", "neighbor_id")
