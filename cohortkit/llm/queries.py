@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortkit.llm import hamming, langid, mixing, packing, perplexity, secrets, shards, simhash, toxicity, warc
+from cohortkit.llm import hamming, langid, mixing, packing, perplexity, phrases, secrets, shards, simhash, toxicity, warc
 from cohortkit.llm.common import table
 from cohortkit.session import scratch_path
 
@@ -155,3 +155,32 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     machine = toxicity.fit(*toxicity.sample_labelled(docs, table(spark, sf_dir, "labels")))
     return toxicity.score_toxicity(docs, machine)
+
+
+PHRASES_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS s FROM d),
+w AS (SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS ws FROM p),
+tot AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+i AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase FROM i, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(ws)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+x AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws, unnest(range(1, k)) AS c FROM f WHERE k > 1),
+s AS (SELECT x.lang, x.phrase, x.a, c, u.a AS l, v.a AS r, n, (1000::HUGEINT * x.a * n) // (u.a::HUGEINT * v.a) AS score
+      FROM x JOIN f u ON u.lang = x.lang AND u.phrase = array_to_string(ws[1:c], ' ')
+      JOIN f v ON v.lang = x.lang AND v.phrase = array_to_string(ws[c + 1:], ' ') JOIN tot ON tot.lang = x.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+y AS (SELECT DISTINCT lang, a, k, string_split(phrase, ' ') AS ws FROM f WHERE k > 2),
+z AS (SELECT lang, a, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+      FROM y, (SELECT unnest(range(2, 5)) AS m), (SELECT unnest(range(1, 5)) AS i) WHERE m < k AND i + m - 1 <= k),
+q AS (SELECT lang, phrase, max(a) AS inside FROM z GROUP BY ALL),
+o AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.phrase) AS rank
+      FROM b LEFT JOIN q ON q.lang = b.lang AND q.phrase = b.phrase WHERE inside IS NULL OR inside < b.a)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM o WHERE rank <= 2000
+"""
+
+
+@query("op11_phrase_collocations", PHRASES_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best-scoring phrases of two to five words of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
