@@ -9,9 +9,10 @@ frequent groups are semi-joined with the occurrences before these are extended a
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
@@ -23,16 +24,20 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 BLOCK = 1 << 20
 #: The language of rows without one.
 UNKNOWN = "und"
-#: One row is a block: ``slots`` (differences) and ``items`` are its occurrences in order, ``phrases`` names the items and counts them.
-RELATION = "block long, slots binary, items binary, phrases array<struct<lang:string,phrase:string,n:long>>"
+#: One row is a block: ``slots`` (differences) and ``items`` are its occurrences in order, ``phrases`` names the items and counts
+#: them. Words are named by language and text, longer phrases by the numbers of their first and last part.
+WORDS = "block long, slots binary, items binary, phrases array<struct<lang:string,phrase:string,n:long>>"
+PHRASES = "block long, slots binary, items binary, phrases array<struct<x:long,y:long,n:long>>"
+#: A phrase's number holds a block in its upper bits and the place in that block's list in so many lower ones.
+PLACE_BITS = 30
 
 #: A-Z to a-z, piece ends to line feeds, tabs to spaces.
 _PLAIN = bytes(ord("\n") if b in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _EMPTY, _GAP = -2, -1
 
 
-def _batch(block: int, slots: np.ndarray, items: np.ndarray, langs: pa.Array, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-    named = pa.StructArray.from_arrays([langs, phrases, pa.array(counts.astype(np.int64))], ["lang", "phrase", "n"])
+def _batch(block: int, slots: np.ndarray, items: np.ndarray, **names) -> pa.RecordBatch:
+    named = pa.StructArray.from_arrays([pa.array(x) for x in names.values()], list(names))
     row = [pa.array([block], pa.int64()), pa.array([np.diff(slots, prepend=0).astype("<i4").tobytes()], pa.binary()),
            pa.array([items.astype("<i4").tobytes()], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(named)], pa.int32()), named)]
     return pa.RecordBatch.from_arrays(row, ["block", "slots", "items", "phrases"])
@@ -55,7 +60,7 @@ def word_relation(docs: DataFrame, block_words: int = BLOCK) -> DataFrame:
     """The relation of length 1, staged. Adjacent words of a piece have adjacent slots; between pieces a slot is left out."""
 
     def run(batches):
-        base, number = TaskContext.get().partitionId() << 32, 0
+        base, number = TaskContext.get().partitionId() << 12, 0
         names: list[bytes] = []
         by_lang: dict[str, _Words] = {}
         parts: list[np.ndarray] = []
@@ -69,8 +74,8 @@ def word_relation(docs: DataFrame, block_words: int = BLOCK) -> DataFrame:
             for lang, words in by_lang.items():
                 ids = np.fromiter(words.values(), dtype=np.int64, count=len(words))
                 langs[ids[ids >= 0]] = lang
-            return _batch(base + number, slots, items, pa.array(langs, pa.string()), pa.array(names, pa.binary()).cast(pa.string()),
-                          np.bincount(items, minlength=len(names)))
+            return _batch(base + number, slots, items, lang=pa.array(langs, pa.string()), phrase=pa.array(names, pa.binary()).cast(pa.string()),
+                          n=np.bincount(items, minlength=len(names)).astype(np.int64))
 
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
@@ -94,24 +99,32 @@ def word_relation(docs: DataFrame, block_words: int = BLOCK) -> DataFrame:
             yield close()
 
     rows = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text")
-    return staged(rows.mapInArrow(run, RELATION), "phrases-1")
+    return staged(rows.mapInArrow(run, WORDS), "phrases-words")
 
 
 def groups(relation: DataFrame) -> DataFrame:
-    """(block, id, lang, phrase, n): the phrases of every block."""
-    return relation.select("block", F.posexplode("phrases").alias("id", "p")).select("block", "id", "p.lang", "p.phrase", "p.n")
+    """(block, place, the names, n): the phrases of every block."""
+    return relation.select("block", F.posexplode("phrases").alias("place", "p")).select("block", "place", "p.*")
 
 
 def frequent(relation: DataFrame, least: int) -> DataFrame:
-    """(lang, phrase, a) of the phrases with at least ``least`` occurrences, staged."""
-    counts = groups(relation).groupBy("lang", "phrase").agg(F.sum("n").alias("a"))
-    return staged(counts.filter(F.col("a") >= least), "phrases-frequent")
+    """The groups of phrases with at least ``least`` occurrences, with that count ``a`` and the phrase's ``number``; staged.
+
+    Groups meet once by phrase, one row per block, which gives the count as well as the
+    semi-joined groups. A phrase's number is that of its first group.
+    """
+    c = F.col
+    rows = groups(relation)
+    mine = W.partitionBy(*[x for x in rows.columns if x not in ("block", "place", "n")])
+    own = F.shiftleft("block", PLACE_BITS) + c("place")
+    rows = rows.withColumn("own", own).withColumn("a", F.sum("n").over(mine)).withColumn("number", F.min("own").over(mine))
+    return staged(rows.filter(c("a") >= least).withColumn("first", c("own") == c("number")).drop("n", "own"), "phrases-frequent")
 
 
 def extend(relation: DataFrame, often: DataFrame, last: bool) -> DataFrame:
     """The relation one word longer, staged: frequent occurrences joined with those at the next position.
 
-    Blocks hold the semi-joined groups as a list, so no occurrence is shuffled by its phrase.
+    Blocks receive the frequent groups as a list, so no occurrence is shuffled by its phrase.
     The occurrences of the last length are counted but not written.
     """
 
@@ -120,31 +133,38 @@ def extend(relation: DataFrame, often: DataFrame, last: bool) -> DataFrame:
         slots = np.cumsum(np.frombuffer(table.column("slots")[0].as_py(), dtype="<i4"), dtype=np.int64)
         items = np.frombuffer(table.column("items")[0].as_py(), dtype="<i4")
         kept = table.column("kept").combine_chunks().flatten()
-        ids, langs, phrases = (kept.field(i) for i in range(3))
-        number = np.full(max(int(items.max(initial=0)), int(pc.max(ids).as_py())) + 1, -1, dtype=np.int64)
-        number[ids.to_numpy(zero_copy_only=False)] = np.arange(len(ids))
-        stays = number[items]
+        places, numbers = (kept.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+        at = np.full(max(int(items.max(initial=0)), int(places.max())) + 1, -1, dtype=np.int64)
+        at[places] = np.arange(len(places))
+        stays = at[items]
         slots, stays = slots[stays >= 0], stays[stays >= 0]
         meets = np.flatnonzero(slots[1:] == slots[:-1] + 1)
-        pairs, items, counts = np.unique(stays[meets] * len(ids) + stays[meets + 1], return_inverse=True, return_counts=True)
-        tails = pa.array([p.rpartition(" ")[2] for p in phrases.to_pylist()], pa.string())
-        first, second = pa.array(pairs // len(ids)), pa.array(pairs % len(ids))
-        longer = pc.binary_join_element_wise(phrases.take(first), tails.take(second), " ")
+        pairs, items, counts = np.unique(stays[meets] * len(places) + stays[meets + 1], return_inverse=True, return_counts=True)
         none = np.zeros(0, dtype=np.int64)
-        return pa.Table.from_batches([_batch(block, none if last else slots[meets], none if last else items, langs.take(first), longer, counts)])
+        return pa.Table.from_batches([_batch(block, none if last else slots[meets], none if last else items,
+                                             x=numbers[pairs // len(places)], y=numbers[pairs % len(places)], n=counts.astype(np.int64))])
 
-    marks = groups(relation).join(often.select("lang", "phrase"), ["lang", "phrase"], "left_semi")
-    marks = marks.groupBy("block").agg(F.collect_list(F.struct(F.col("id").cast("int").alias("id"), "lang", "phrase")).alias("kept"))
+    marks = often.groupBy("block").agg(F.collect_list(F.struct("place", "number")).alias("kept"))
     rows = relation.select("block", "slots", "items").join(marks, "block")
-    return staged(rows.groupBy("block").applyInArrow(step, RELATION), "phrases-next")
+    return staged(rows.groupBy("block").applyInArrow(step, PHRASES), "phrases-next")
+
+
+def named(often: DataFrame, shorter: DataFrame | None) -> DataFrame:
+    """(number, lang, phrase, a): each frequent phrase once, its text put together from the texts one word ``shorter``; staged."""
+    c = F.col
+    one = often.filter("first")
+    if shorter is None:
+        return staged(one.select("number", "lang", "phrase", "a"), "phrases-named")
+    head = shorter.select(c("number").alias("x"), "lang", c("phrase").alias("head"))
+    tail = shorter.select(c("number").alias("y"), F.substring_index("phrase", " ", -1).alias("tail"))
+    rows = one.select("number", "x", "y", "a").join(head, "x").join(tail, "y")
+    return staged(rows.select("number", "lang", F.concat_ws(" ", "head", "tail").alias("phrase"), "a"), "phrases-named")
 
 
 def scored(levels: list[DataFrame], totals: DataFrame) -> DataFrame:
     """(lang, phrase, a, l, r, n, score) of the phrases of two words and more, each at its lowest-scoring cut; exact whole numbers."""
     c = F.col
-    known = levels[0]
-    for level in levels[1:]:
-        known = known.union(level)
+    known = reduce(DataFrame.union, levels)
     cands = None
     for k, level in enumerate(levels[1:], start=2):
         words = F.split("phrase", " ", -1)
@@ -183,11 +203,14 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     """
     c = F.col
     relation = word_relation(docs, block_words)
-    totals = staged(groups(relation).groupBy("lang").agg(F.sum("n").alias("n")), "phrases-words")
-    levels = [frequent(relation, least)]
+    totals = staged(groups(relation).groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
+    often = frequent(relation, least)
+    levels = [named(often, None)]
     for k in range(2, longest + 1):
-        relation = extend(relation, levels[-1], k == longest)
-        levels.append(frequent(relation, least))
+        relation = extend(relation, often, k == longest)
+        often = frequent(relation, least)
+        levels.append(named(often, levels[-1]))
+    levels = [x.drop("number") for x in levels]
     rows = scored(levels, totals).join(covered(levels), ["lang", "phrase"], "left")
     rows = rows.filter(c("inside").isNull() | (c("inside") < c("a")))
     order = W.partitionBy("lang").orderBy(c("score").desc(), c("a").desc(), c("phrase"))
