@@ -21,7 +21,7 @@ from cohortkit.llm.common import staged
 #: Least count of a phrase, its most words, and phrases returned per language.
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Words after which a block is closed; a document is never split.
-BLOCK = 1 << 20
+BLOCK = 1 << 21
 #: The language of rows without one.
 UNKNOWN = "und"
 #: One row is a block: ``slots`` (differences) and ``items`` are its occurrences in order, ``phrases`` names the items and counts
@@ -103,8 +103,9 @@ def word_relation(docs: DataFrame, block_words: int = BLOCK) -> DataFrame:
 
 
 def groups(relation: DataFrame) -> DataFrame:
-    """(block, place, the names, n): the phrases of every block."""
-    return relation.select("block", F.posexplode("phrases").alias("place", "p")).select("block", "place", "p.*")
+    """(own, the names, n): the phrases of every block, with a number of their own."""
+    own = F.shiftleft("block", PLACE_BITS) + F.col("place")
+    return relation.select("block", F.posexplode("phrases").alias("place", "p")).select(own.alias("own"), "p.*")
 
 
 def frequent(relation: DataFrame, least: int) -> DataFrame:
@@ -113,46 +114,45 @@ def frequent(relation: DataFrame, least: int) -> DataFrame:
     Groups meet once by phrase, one row per block, which gives the count as well as the
     semi-joined groups. A phrase's number is that of its first group.
     """
-    c = F.col
     rows = groups(relation)
-    mine = W.partitionBy(*[x for x in rows.columns if x not in ("block", "place", "n")])
-    own = F.shiftleft("block", PLACE_BITS) + c("place")
-    rows = rows.withColumn("own", own).withColumn("a", F.sum("n").over(mine)).withColumn("number", F.min("own").over(mine))
-    return staged(rows.filter(c("a") >= least).withColumn("first", c("own") == c("number")).drop("n", "own"), "phrases-frequent")
+    mine = W.partitionBy(*[x for x in rows.columns if x not in ("own", "n")])
+    rows = rows.withColumn("a", F.sum("n").over(mine)).withColumn("number", F.min("own").over(mine))
+    return staged(rows.filter(F.col("a") >= least).drop("n"), "phrases-frequent")
 
 
 def extend(relation: DataFrame, often: DataFrame, last: bool) -> DataFrame:
     """The relation one word longer, staged: frequent occurrences joined with those at the next position.
 
-    Blocks receive the frequent groups as a list, so no occurrence is shuffled by its phrase.
-    The occurrences of the last length are counted but not written.
+    A block meets its own frequent groups, so no occurrence is shuffled by its phrase. The occurrences of the last length are counted but not written.
     """
 
-    def step(table: pa.Table) -> pa.Table:
+    none = np.zeros(0, dtype=np.int64)
+
+    def step(table: pa.Table, kept: pa.Table) -> pa.Table:
+        if not table.num_rows or not kept.num_rows:
+            return pa.Table.from_batches([_batch(0, none, none, x=none, y=none, n=none)]).slice(0, 0)
         block = table.column("block")[0].as_py()
         slots = np.cumsum(np.frombuffer(table.column("slots")[0].as_py(), dtype="<i4"), dtype=np.int64)
         items = np.frombuffer(table.column("items")[0].as_py(), dtype="<i4")
-        kept = table.column("kept").combine_chunks().flatten()
-        places, numbers = (kept.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+        places, numbers = kept.column("own").to_numpy() & ((1 << PLACE_BITS) - 1), kept.column("number").to_numpy()
         at = np.full(max(int(items.max(initial=0)), int(places.max())) + 1, -1, dtype=np.int64)
         at[places] = np.arange(len(places))
         stays = at[items]
         slots, stays = slots[stays >= 0], stays[stays >= 0]
         meets = np.flatnonzero(slots[1:] == slots[:-1] + 1)
         pairs, items, counts = np.unique(stays[meets] * len(places) + stays[meets + 1], return_inverse=True, return_counts=True)
-        none = np.zeros(0, dtype=np.int64)
         return pa.Table.from_batches([_batch(block, none if last else slots[meets], none if last else items,
                                              x=numbers[pairs // len(places)], y=numbers[pairs % len(places)], n=counts.astype(np.int64))])
 
-    marks = often.groupBy("block").agg(F.collect_list(F.struct("place", "number")).alias("kept"))
-    rows = relation.select("block", "slots", "items").join(marks, "block")
-    return staged(rows.groupBy("block").applyInArrow(step, PHRASES), "phrases-next")
+    rows = relation.select("block", "slots", "items").groupBy("block")
+    kept = often.select(F.shiftright("own", PLACE_BITS).alias("block"), "own", "number").groupBy("block")
+    return staged(rows.cogroup(kept).applyInArrow(step, PHRASES), "phrases-next")
 
 
 def named(often: DataFrame, shorter: DataFrame | None) -> DataFrame:
     """(number, lang, phrase, a): each frequent phrase once, its text put together from the texts one word ``shorter``; staged."""
     c = F.col
-    one = often.filter("first")
+    one = often.filter("own = number")
     if shorter is None:
         return staged(one.select("number", "lang", "phrase", "a"), "phrases-named")
     head = shorter.select(c("number").alias("x"), "lang", c("phrase").alias("head"))
