@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortkit.llm import hamming, langid, mixing, packing, perplexity, phrases, secrets, shards, simhash, toxicity, warc
+from cohortkit.llm import hamming, langid, mixing, packing, perplexity, phrases, secrets, shards, simhash, spelling, toxicity, warc
 from cohortkit.llm.common import table
 from cohortkit.session import scratch_path
 
@@ -184,3 +184,9 @@ SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM o WHERE rank
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best-scoring phrases of two to five words of every language."""
     return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words with the form that each is a variant of."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
