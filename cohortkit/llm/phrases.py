@@ -21,13 +21,13 @@ from cohortkit.llm.common import staged
 #: Least count of a phrase, its most words, and phrases returned per language.
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Words after which a block is closed; a document is never split.
-BLOCK = 1 << 21
+BLOCK = 1 << 22
 #: The language of rows without one.
 UNKNOWN = "und"
-#: One row is a block: ``slots`` (differences) and ``items`` are its occurrences in order, ``phrases`` names the items and counts
+#: One row is a block of ``size`` occurrences in order: ``slots`` (differences) and ``items``, both compressed; ``phrases`` names the items and counts
 #: them. Words are named by language and text, longer phrases by the numbers of their first and last part.
-WORDS = "block long, slots binary, items binary, phrases array<struct<lang:string,phrase:string,n:long>>"
-PHRASES = "block long, slots binary, items binary, phrases array<struct<x:long,y:long,n:long>>"
+WORDS = "block long, size int, slots binary, items binary, phrases array<struct<lang:string,phrase:string,n:long>>"
+PHRASES = "block long, size int, slots binary, items binary, phrases array<struct<x:long,y:long,n:long>>"
 #: A phrase's number holds a block in its upper bits and the place in that block's list in so many lower ones.
 PLACE_BITS = 30
 
@@ -38,9 +38,9 @@ _EMPTY, _GAP = -2, -1
 
 def _batch(block: int, slots: np.ndarray, items: np.ndarray, **names) -> pa.RecordBatch:
     named = pa.StructArray.from_arrays([pa.array(x) for x in names.values()], list(names))
-    row = [pa.array([block], pa.int64()), pa.array([np.diff(slots, prepend=0).astype("<i4").tobytes()], pa.binary()),
-           pa.array([items.astype("<i4").tobytes()], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(named)], pa.int32()), named)]
-    return pa.RecordBatch.from_arrays(row, ["block", "slots", "items", "phrases"])
+    packed = [pa.array([pa.compress(x.astype("<i4").tobytes(), "zstd", asbytes=True)], pa.binary()) for x in (np.diff(slots, prepend=0), items)]
+    row = [pa.array([block], pa.int64()), pa.array([len(items)], pa.int32()), *packed, pa.ListArray.from_arrays(pa.array([0, len(named)], pa.int32()), named)]
+    return pa.RecordBatch.from_arrays(row, ["block", "size", "slots", "items", "phrases"])
 
 
 class _Words(dict):
@@ -132,8 +132,9 @@ def extend(relation: DataFrame, often: DataFrame, last: bool) -> DataFrame:
         if not table.num_rows or not kept.num_rows:
             return pa.Table.from_batches([_batch(0, none, none, x=none, y=none, n=none)]).slice(0, 0)
         block = table.column("block")[0].as_py()
-        slots = np.cumsum(np.frombuffer(table.column("slots")[0].as_py(), dtype="<i4"), dtype=np.int64)
-        items = np.frombuffer(table.column("items")[0].as_py(), dtype="<i4")
+        size = 4 * table.column("size")[0].as_py()
+        slots, items = (np.frombuffer(pa.decompress(table.column(x)[0].as_py(), size, "zstd"), dtype="<i4") for x in ("slots", "items"))
+        slots = np.cumsum(slots, dtype=np.int64)
         places, numbers = kept.column("own").to_numpy() & ((1 << PLACE_BITS) - 1), kept.column("number").to_numpy()
         at = np.full(max(int(items.max(initial=0)), int(places.max())) + 1, -1, dtype=np.int64)
         at[places] = np.arange(len(places))
@@ -144,7 +145,7 @@ def extend(relation: DataFrame, often: DataFrame, last: bool) -> DataFrame:
         return pa.Table.from_batches([_batch(block, none if last else slots[meets], none if last else items,
                                              x=numbers[pairs // len(places)], y=numbers[pairs % len(places)], n=counts.astype(np.int64))])
 
-    rows = relation.select("block", "slots", "items").groupBy("block")
+    rows = relation.select("block", "size", "slots", "items").groupBy("block")
     kept = often.select(F.shiftright("own", PLACE_BITS).alias("block"), "own", "number").groupBy("block")
     return staged(rows.cogroup(kept).applyInArrow(step, PHRASES), "phrases-next")
 
