@@ -36,3 +36,21 @@ def unit_hash(*cols: Column) -> Column:
     """A uniform number in [0, 1) from the MD5 of the columns' text; null counts as empty."""
     text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / float(1 << 52)
+
+
+#: Keys that hold more than one in so many rows are looked up without a shuffle; there are fewer of them than this.
+HEAVY = 1024
+
+
+def heavy_lookup(rows: DataFrame, table: DataFrame, key: list[str], copies: str) -> DataFrame:
+    """``rows`` joined with ``table``, which has one row per key and counts the rows of each in ``copies``.
+
+    Keys with more than a ``HEAVY``-th of all rows, fewer than ``HEAVY`` by their definition,
+    are broadcast; the others meet by shuffle, so no task receives more of one key than that.
+    """
+    total = table.agg(F.sum(copies)).first()[0] or 0
+    most = F.col(copies) * HEAVY > total
+    heavy, light = table.filter(most).drop(copies), table.filter(~most).drop(copies)
+    hot = rows.join(F.broadcast(heavy), key)
+    cold = rows.join(F.broadcast(heavy.select(*key)), key, "left_anti").join(light, key)
+    return hot.unionByName(cold)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortkit.llm import hamming, langid, mixing, packing, perplexity, phrases, secrets, shards, simhash, spelling, toxicity, warc
+from cohortkit.llm import hamming, jaccard, langid, mixing, packing, perplexity, phrases, secrets, shards, simhash, spelling, toxicity, warc
 from cohortkit.llm.common import table
 from cohortkit.session import scratch_path
 
@@ -190,3 +190,23 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frequent words with the form that each is a variant of."""
     return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+i AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM o JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * o >= 85 * (a.n + b.n - o)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT e.y, r.c FROM r JOIN e ON e.x = r.doc_id),
+m AS (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, d.doc_id) AS component_id FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+
+@query("op12_jaccard_join", JACCARD_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of near equal shingle sets."""
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
