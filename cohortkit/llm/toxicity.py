@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from cohortkit.llm.common import held_out, staged, unit_hash
 
 #: Length of the subsequences, weight of each character that one spans.
-LENGTH, DECAY = 3, 0.6
+LENGTH, DECAY = 3, 0.7
 #: Landmarks of each class, and the rounds in which toxic texts choose their units anew.
 LANDMARKS, ROUNDS = 200, 3
 #: The sample the machine is fitted on: so many labelled texts of each class, none longer than this in characters.
@@ -29,9 +29,13 @@ PIECE = 18
 #: Units whose score a worker remembers.
 REMEMBERED = 500_000
 #: Units of toxic texts that are also learned with an inserted character.
-VARIED = 60
+VARIED = 120
+#: Weight of those units among the toxic ones in fitting, and of missing one in choosing the threshold.
+SHARE, GAPPED = 0.4, 0.15
 #: Units of clean texts used in fitting.
 CLEAN_UNITS = 6000
+#: Clean units of at most so many characters are all used, half that number at most: few subsequences tell them from parts of insults.
+SHORT = 6
 
 _UNIT = re.compile(r"(?:(?<!\S)\S(?:[^\S\n]\S)+(?!\S))|\S+")
 _INSIDE = re.compile(r"[\W_]+")
@@ -181,7 +185,7 @@ def self_norm(data: np.ndarray) -> np.ndarray:
     return np.where(own > 0, own, 1.0)
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 20.0, steps: int = 30) -> tuple[np.ndarray, float]:
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 60.0, steps: int = 30) -> tuple[np.ndarray, float]:
     """A linear machine with squared hinge loss, by Newton steps over the rows inside the margin."""
     x1 = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x1.shape[1])
@@ -258,7 +262,8 @@ def fit(texts: list[str], labels: list[int]) -> Machine:
         return np.concatenate(out) if out else np.zeros((0, root.shape[1]))
 
     step = max(1, len(common) // CLEAN_UNITS)
-    clean_units = list(dict.fromkeys(common[:CLEAN_UNITS // 2] + common[CLEAN_UNITS // 2::step][:CLEAN_UNITS // 2]))
+    short = [p for p in common if len(p) <= SHORT][:CLEAN_UNITS // 2]
+    clean_units = list(dict.fromkeys(common[:CLEAN_UNITS // 2] + common[CLEAN_UNITS // 2::step][:CLEAN_UNITS // 2] + short))
     chosen = [max(bag, key=lambda p: (telling(p), p)) for bag in toxic]
     for turn in range(ROUNDS):
         counted: dict[str, int] = {}
@@ -269,7 +274,7 @@ def fit(texts: list[str], labels: list[int]) -> Machine:
         changed = sorted({v for p in usual for v in _variants(p)}.difference(good))
         x = np.vstack([features(positive), features(changed), features(clean_units)])
         y = np.concatenate([np.ones(len(positive) + len(changed)), -np.ones(len(clean_units))])
-        weight = np.concatenate([0.7 * _shares([counted[p] for p in positive]), np.full(len(changed), 0.3 / max(1, len(changed))), _shares([good[p] for p in clean_units])])
+        weight = np.concatenate([(1 - SHARE) * _shares([counted[p] for p in positive]), np.full(len(changed), SHARE / max(1, len(changed))), _shares([good[p] for p in clean_units])])
         w, bias = _svm(x, y, weight * len(y) / 2)
         machine = Machine(landmarks, (root @ w) / norms, bias, 1.0, 0.0)
         machine.unit_scores(sorted({p for bag in bags for p in bag}))
@@ -278,10 +283,11 @@ def fit(texts: list[str], labels: list[int]) -> Machine:
             hard = sorted((p for p in good if machine.known[p] > -0.5), key=lambda p: (-machine.known[p], p))[:CLEAN_UNITS // 2]
             clean_units = list(dict.fromkeys(clean_units + hard))
     high = np.array([max(machine.known[p] for p in bag) for bag in toxic])
+    gapped = np.sort(machine.piece_scores(changed))
     low = np.array([max(machine.known[p] for p in bag) for bag in clean])
     edges = np.unique(np.concatenate([high, low]))
     between = np.concatenate([edges[:1] - 1, (edges[1:] + edges[:-1]) / 2, edges[-1:] + 1])
-    miss = np.searchsorted(np.sort(high), between) / len(high) + 3 * (1 - np.searchsorted(np.sort(low), between) / len(low))
+    miss = np.searchsorted(np.sort(high), between) / len(high) + GAPPED * np.searchsorted(gapped, between) / max(1, len(gapped)) + 3 * (1 - np.searchsorted(np.sort(low), between) / len(low))
     best = np.flatnonzero(miss <= miss.min() + 1e-12)
     machine.shift = float(between[best[len(best) // 2]])
     gap = max(0.05, float(np.median(high) - np.median(low)))
