@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from cohortkit.llm import packing
 from cohortkit.llm.common import table
@@ -13,8 +14,17 @@ P = pytest.importorskip("public_tokenizers")
 PATH = P.path("word_bpe_49k.json")
 
 
+PLAIN = Tokenizer.from_file(PATH)
+
+
 def whole_ids(text):
-    return packing.encoder(PATH).tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+    return PLAIN.encode(text or "", add_special_tokens=False).ids + [1]
+
+
+def test_special_marks_in_texts():
+    for text in ("a <|endoftext|> b", "x<|startoftext|>y <|endoftext|><|endoftext|>", "<|endof text|>", "Ünï <|ENDOFTEXT|>", "end.<|endoftext|>."):
+        assert np.frombuffer(packing.encoder(PATH).text_ids(text.encode()), "<u4").tolist() == whole_ids(text)[:-1]
+    assert whole_ids("a <|endoftext|> b") == [320, 49407, 321, 1]
 
 
 def check(rows, texts):
