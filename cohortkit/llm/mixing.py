@@ -46,8 +46,9 @@ def _drawn(docs: DataFrame, seed: str = "mix", **rules) -> DataFrame:
     targets = staged(source_targets(docs.select("source", words.alias("size")), **rules), "mix-targets")
     targets = targets.select(*[c(x).alias(f"_mix_{x}") for x in targets.columns])
     joined = docs.withColumn("_mix_size", words).join(targets, c("source").eqNullSafe(c("_mix_source")), "left")
-    rate = F.coalesce(c("_mix_target") / c("_mix_source_size"), F.lit(0.0))
-    copies = F.floor(rate) + F.when(unit_hash(F.lit(seed), c("doc_id")) < rate - F.floor(rate), 1).otherwise(0)
+    rate = F.coalesce(F.try_divide("_mix_target", "_mix_source_size"), F.lit(0.0))
+    own = F.coalesce(c("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
+    copies = F.floor(rate) + F.when(unit_hash(F.lit(seed), own) < rate - F.floor(rate), 1).otherwise(0)
     return joined.withColumn("_mix_copies", copies.cast("int"))
 
 
@@ -55,9 +56,10 @@ def plan_mix(docs: DataFrame, seed: str = "mix", **rules) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies), one row per document.
 
     Sizes are words of the text (null: 0). A null source is a source of its own and comes
-    last. An empty source has target 0; a document of size 0 may be emitted but takes
-    nothing. The draw depends on doc_id and the seed alone, so reruns agree and repeated
-    rows are drawn alike; a null doc_id draws as an empty one. An empty table gives an
+    last. A source without words has target 0 and its documents are not emitted; a document of
+    size 0 of another source may be emitted but takes nothing. The draw depends on doc_id and
+    the seed alone, so reruns agree and repeated rows are drawn alike; a document without an
+    id draws by its text. An empty table gives an
     empty result.
     """
     return _drawn(docs, seed, **rules).select("doc_id", "source", *[F.col(f"_mix_{x}").alias(x) for x in ("size", "source_size", "target", "copies")])

@@ -79,14 +79,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MIX_SQL = r"""
-WITH s AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+WITH s AS (SELECT doc_id, coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS own, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
 p AS (SELECT source, sum(size)::BIGINT AS z FROM s GROUP BY source),
 w AS (SELECT source, z, [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w FROM p),
 l AS (SELECT *, (1.5::DOUBLE * sum(z) OVER () - coalesce(sum(2 * z) OVER b, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER b, 0)) AS lev
       FROM w WINDOW b AS (ORDER BY z / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 t AS (SELECT source, z, least((2 * z)::DOUBLE, max(lev) OVER () * w) AS target FROM l),
 r AS (SELECT doc_id, size, z, target, coalesce(target / nullif(z, 0), 0) AS rate,
-        ('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+        ('0x' || substr(md5('mix|' || own), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
       FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, z AS source_size, target, (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM r
 """

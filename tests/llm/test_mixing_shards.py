@@ -117,3 +117,15 @@ def test_shards_awkward_rows(spark):
     assert all(sorted(s) == list(range(len(s))) for s in by.values())
     assert shards.shard_by_bytes(empty(spark), 4).count() == 0
     assert shards.shard_by_bytes(spark.createDataFrame([(i, "same", "en", "a", 4) for i in range(50)], DOCS), 4).select("shard").distinct().count() == 1
+
+
+def test_source_without_words_and_rows_without_id(spark):
+    rows = [(1, "a b c d", "x"), (2, "", "empty"), (3, None, "empty"), *[(None, f"w{i} of a text", "y") for i in range(600)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.plan_mix(df).collect()
+    assert len(plan) == len(rows)
+    assert all(r.target == 0 and r.copies == 0 for r in plan if r.source == "empty")
+    taken = sum(r.size * r.copies for r in plan if r.source == "y")
+    target = next(r.target for r in plan if r.source == "y")
+    assert abs(taken - target) < 0.1 * target
+    assert {r.source for r in mixing.mix(df).collect()} == {"x", "y"}
