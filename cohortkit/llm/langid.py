@@ -19,8 +19,8 @@ from cohortkit.llm.common import held_out, staged, unit_hash
 
 #: Longest context in bytes (7 at most); a text is read as if so many line feeds preceded it.
 ORDER = 4
-#: The sample that trees are learned from: so many texts a language, none longer than this in bytes.
-SAMPLE_TEXTS, SAMPLE_BYTES = 400, 20_000
+#: The sample that trees are learned from: so many texts a language, of a longer one a passage of so many characters.
+SAMPLE_TEXTS, SAMPLE_CHARS = 400, 10_000
 #: Bytes that are scored at once.
 CHUNK = 1 << 20
 #: The value for texts without a letter, and the least score a text must have to stay.
@@ -163,16 +163,20 @@ class Scorer:
         return total
 
 
-def sample_texts(docs: DataFrame, n: int = SAMPLE_TEXTS, most_bytes: int = SAMPLE_BYTES) -> dict[str, list[bytes]]:
-    """At most ``n`` texts of each language, none of a held-out document or of more than ``most_bytes``.
+def sample_texts(docs: DataFrame, n: int = SAMPLE_TEXTS, most_chars: int = SAMPLE_CHARS) -> dict[str, list[bytes]]:
+    """At most ``n`` texts of each language, none of a held-out document; of a long text a passage of ``most_chars`` characters.
 
-    A hash of the id chooses them. Rows are thinned by each language's share before they are
-    ranked, so ranking sees a few times the sample and not a language's rows. The counts are
-    written first: as a small table they reach the documents without moving any text.
+    A hash of the id (of the text, if there is none) chooses texts and where passages begin.
+    Rows are thinned by each language's share before they are ranked, so ranking sees a few
+    times the sample and not a language's rows. The counts are written first: as a small table
+    they reach the documents without moving any text.
     """
     c = F.col
-    rows = docs.select("doc_id", "lang", "text").filter(~held_out() & c("lang").isNotNull() & (F.octet_length("text") <= most_bytes))
-    rows = rows.withColumn("u", unit_hash(F.lit("lang"), c("doc_id"), c("lang")))
+    rows = docs.select("doc_id", "lang", "text").filter(~held_out() & c("lang").isNotNull() & c("text").isNotNull())
+    own = F.coalesce(c("doc_id").cast("string"), F.md5(c("text").cast("binary")))
+    spare = F.greatest(F.char_length("text") - most_chars, F.lit(0))
+    rows = rows.withColumn("u", unit_hash(F.lit("lang"), own, c("lang")))
+    rows = rows.withColumn("text", F.substr("text", 1 + F.floor(unit_hash(F.lit("passage"), own) * spare).cast("int"), F.lit(most_chars)))
     counts = staged(rows.groupBy("lang").count(), "lang-counts")
     thin = rows.join(counts, "lang").filter(c("u") <= 3.0 * n / c("count"))
     ranked = thin.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("u", "doc_id", "text"))).filter(c("r") <= n)

@@ -68,3 +68,10 @@ def test_awkward_rows(spark):
     nothing = langid.learn(langid.sample_texts(empty(spark)))
     assert {r.lang_pred for r in langid.identify(docs, nothing).collect()} == {"und"}
     assert langid.identify(empty(spark), nothing).count() == 0
+
+
+def test_long_texts_and_rows_without_id_are_learned_from(spark):
+    rows = [(i, "lange Wörter und ähnliche Sätze stehen hier " * 600, "de") for i in range(40)]
+    rows += [(None, f"des mots français numéro {i} et encore autre chose", "fr") for i in range(300)] + [(i, f"plain english words {i}", "en") for i in range(100, 140)]
+    texts = langid.sample_texts(spark.createDataFrame(rows, "doc_id long, text string, lang string"), n=50)
+    assert set(texts) == {"de", "en", "fr"} and len(texts["fr"]) == 50 and all(len(t.decode()) <= langid.SAMPLE_CHARS for t in texts["de"])
