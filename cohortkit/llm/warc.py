@@ -1,7 +1,7 @@
 """WARC archives: writing with digest-based revisits, reading by boundary-chain verification.
 
-Readers split archives at every occurrence of the record magic. Each occurrence is a
-candidate that names its successor's offset (header length plus declared length). Only what
+Readers split plain archives (not compressed ones) at every occurrence of what the record
+magics of versions 1.0 and 1.1 begin with. Each magic is a candidate that names its successor's offset (header length plus declared length). Only what
 pointer jumping from the start of each file reaches is a record; magic inside payloads is
 never reached and is given back to the payload it lies in.
 """
@@ -14,6 +14,8 @@ from cohortkit.llm.common import staged
 
 # Fixed values of the archive format.
 MAGIC = "WARC/1.1\r\n"
+MARK = "WARC/1."
+VERSIONS = ["0\r\n", "1\r\n"]
 HEADER_END = "\r\n\r\n"
 RECORD_END = "\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -83,7 +85,7 @@ def _segments(spark: SparkSession, path: str) -> DataFrame:
     Written once as read, without a shuffle, so that seq is fixed.
     """
     c = F.col
-    return staged(spark.read.text(path, lineSep=MAGIC).select(
+    return staged(spark.read.text(path, lineSep=MARK).select(
         c("_metadata.file_path").alias("file"), c("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"), c("value").cast("binary").alias("data")), "warc-segments")
 
@@ -95,12 +97,12 @@ def _offsets(lengths: DataFrame) -> DataFrame:
     segments, across blocks over one number per block. No window holds a file's rows.
     """
     c = F.col
-    step = c("length") + len(MAGIC)
+    step = c("length") + len(MARK)
     sums = lengths.groupBy("file", "block").agg(F.sum(step).alias("total"))
     ahead = sums.select("file", "block", F.coalesce(F.sum("total").over(
         W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
     inside = F.coalesce(F.sum(step).over(W.partitionBy("file", "block").orderBy("seq").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return lengths.join(ahead, ["file", "block"]).withColumn("offset", c("ahead") + inside - len(MAGIC)).drop("ahead")
+    return lengths.join(ahead, ["file", "block"]).withColumn("offset", c("ahead") + inside - len(MARK)).drop("ahead")
 
 
 def _field(header: Column, name: str) -> Column:
@@ -143,14 +145,14 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     c = F.col
     seg = _segments(spark, path)
     text = c("data").cast("string")
-    cut = F.locate(HEADER_END, text) > 0
+    cut = (F.locate(HEADER_END, text) > 0) & F.substring(text, 1, 3).isin(VERSIONS)
     head = F.substring_index(text, HEADER_END, 1)
     slim = seg.select("file", "block", "seq", F.octet_length("data").cast("long").alias("length"), F.when(cut, F.octet_length(head)).alias("_at"),
                       F.when(cut, _field(head, "Content-Length")).alias("_len"))
-    following = c("offset") + len(MAGIC) + c("_at") + len(HEADER_END) + F.expr("try_cast(_len AS BIGINT)") + len(RECORD_END)
-    placed = staged(_offsets(slim).select("file", "block", "seq", "offset", following.alias("next")), "warc-offsets")
+    following = c("offset") + len(MARK) + c("_at") + len(HEADER_END) + F.expr("try_cast(_len AS BIGINT)") + len(RECORD_END)
+    placed = staged(_offsets(slim).select("file", "block", "seq", "offset", following.alias("next"), c("_at").isNotNull().alias("magic")), "warc-offsets")
     slim = placed.filter("offset >= 0")
-    good = reachable(slim).withColumn("start", c("offset"))
+    good = reachable(slim.filter("magic")).withColumn("start", c("offset"))
     marked = staged(slim.select("file", "block", "seq", "offset").join(good, ["file", "offset"], "left"), "warc-marked")
     last = W.partitionBy("file").orderBy("block")
     carried = marked.groupBy("file", "block").agg(F.max("start").alias("_last")).select(
@@ -164,11 +166,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     odd = staged(extra.unionByName(several).unionByName(before).withColumn("odd", F.lit(True)), "warc-odd")
     told = seg.join(odd, ["file", "block", "seq"], "left")
     parts = told.filter("odd AND record IS NOT NULL").groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("offset", "data"))).alias("parts"))
-    joined = F.aggregate(F.slice("parts", 2, 1 << 30), c("parts")[0]["data"], lambda a, p: F.concat(a, F.lit(MAGIC).cast("binary"), p["data"]))
+    joined = F.array_join(F.transform("parts", lambda p: p["data"].cast("string")), MARK).cast("binary")  # bytes stay as they are
     whole = told.filter("odd IS NULL").select("data").unionByName(parts.select(joined.alias("data")))
-    rows = whole.withColumn("header", head).withColumn("_len", _field(c("header"), "Content-Length"))
+    rows = whole.withColumn("_head", head).withColumn("header", F.substr("_head", F.lit(4))).withColumn("_len", _field(c("_head"), "Content-Length"))
     size = F.coalesce(F.expr("try_cast(_len AS INT)"), F.lit(0))
-    return rows.select("header", F.substring("data", F.octet_length("header") + len(HEADER_END) + 1, size).alias("payload"))
+    return rows.select("header", F.substring("data", F.octet_length("_head") + len(HEADER_END) + 1, size).alias("payload"))
 
 
 def archived_pages(records: DataFrame) -> DataFrame:

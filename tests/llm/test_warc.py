@@ -10,8 +10,8 @@ from cohortkit.session import scratch_path
 SCHEMA = "page_id long, url string, html string, extra string"
 
 
-def record(payload: bytes, kind="response", number=1):
-    return (b"WARC/1.1\r\nWARC-Type: %s\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: %d\r\n\r\n" % (kind.encode(), number, len(payload))) + payload + b"\r\n\r\n"
+def record(payload: bytes, kind="response", number=1, version=b"1.1"):
+    return (b"WARC/" + version + b"\r\nWARC-Type: %s\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: %d\r\n\r\n" % (kind.encode(), number, len(payload))) + payload + b"\r\n\r\n"
 
 
 def expected(rows):
@@ -73,6 +73,21 @@ def test_broken_chain_and_binary_payloads(spark):
     assert got == sorted([*blobs, b"good"])
 
 
+def test_older_version_and_many_magics(spark):
+    """Archives of version 1.0, mixed ones, and payloads full of magics and of what only looks like one."""
+    blobs = [b"one", record(b"x", version=b"1.0") * 3, b"WARC/1.0\r\nWARC/1.7\r\nWARC/1." * 2000, b"WARC/1.", b""]
+    path = scratch_path(spark, "warc-old")
+    os.makedirs(path)
+    for name, versions in (("a", [b"1.0"]), ("b", [b"1.0", b"1.1"])):
+        with open(f"{path}/{name}.warc", "wb") as f:
+            f.write(b"".join(record(b, number=i, version=versions[i % len(versions)]) for i, b in enumerate(blobs)))
+    with open(f"{path}/c.warc", "wb") as f:
+        f.write(record(b"unknown version", version=b"1.5"))
+    rows = warc.read_archives(spark, path).collect()
+    assert sorted(bytes(r.payload) for r in rows) == sorted(blobs * 2)
+    assert all(r.header.startswith("WARC-Type: response") for r in rows)
+
+
 def test_pointer_jumping(spark):
     rnd = random.Random(3)
     rows, want = [], set()
