@@ -14,7 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortkit.llm.common import staged
+from cohortkit.llm.common import heavy_lookup, staged
 from cohortkit.llm.graph import components
 
 #: Words of a shingle, the most differing bits of a link, the hash's seed.
@@ -42,15 +42,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp): fingerprints as signed 64-bit numbers; a null text has the fingerprint of an empty one."""
+    """(doc_id, digest, fp): the text's MD5 and its fingerprint as a signed 64-bit number; a null text counts as an empty one."""
 
     def run(batches):
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
             fps = np.fromiter((fingerprint(t.as_py() or b"", shingle, seed) for t in texts), dtype=np.uint64, count=len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(fps.view(np.int64))], ["doc_id", "digest", "fp"])
 
-    return docs.selectExpr("cast(doc_id AS bigint) AS doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    rows = docs.selectExpr("cast(doc_id AS bigint) AS doc_id", "md5(cast(coalesce(text, '') AS binary)) AS digest", "text")
+    return rows.mapInArrow(run, "doc_id long, digest string, fp long")
 
 
 class BKTree:
@@ -181,6 +182,21 @@ def links(codes: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFra
     return spread.mapInArrow(run, "u long, v long")
 
 
+def grouped(docs: DataFrame, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """The documents' (doc_id, digest, fp), and (fp, copies, least, root) of the distinct codes; both staged.
+
+    ``root`` names a code's component, ``least`` is the code's least (no id, doc_id, digest).
+    """
+    c = F.col
+    slim = staged(fingerprints(docs, shingle), "simhash-codes")
+    order = F.struct(c("doc_id").isNull().alias("anonymous"), "doc_id", "digest")
+    codes = staged(slim.groupBy("fp").agg(F.min(order).alias("least"), F.count(F.lit(1)).alias("copies")), "simhash-distinct")
+    roots = components(links(codes, radius))
+    named = codes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = named.groupBy("root").agg(F.min("least").alias("_least"))
+    return slim, staged(named.join(least, "root").select("fp", "copies", c("_least").alias("least"), "root"), "simhash-components")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id), one row per document; the component's name is its smallest doc_id.
 
@@ -190,24 +206,27 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     but never name a component unless it has no other (null). An empty table gives an empty
     result.
     """
-    c = F.col
-    slim = staged(fingerprints(docs, shingle), "simhash-codes")
-    codes = staged(slim.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    roots = components(links(codes, radius))
-    linked = codes.join(roots.withColumnRenamed("node", "fp"), "fp").select("fp", "root", "least")
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = linked.join(least, "root").select("fp", c("component_id").alias("_id"))
-    table = codes.join(named, "fp", "left").select("fp", F.coalesce("_id", "least").alias("component_id"))
-    return slim.join(table, "fp").select("doc_id", "fp", "component_id")
+    slim, codes = grouped(docs, shingle, radius)
+    table = codes.select("fp", "copies", F.col("least.doc_id").alias("component_id"))
+    return heavy_lookup(slim, table, ["fp"], "copies").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one document of each component, that with the smallest doc_id.
+    """``docs`` with one row of each component: that with the least doc_id (null last), then the least digest of the text.
 
-    Rows that share an id are one document, of which one row stays. Documents without an id
-    cannot be told from each other and stay as they are.
+    Rows are told apart by id and text, so of rows that share an id but not the text each is
+    decided for itself; rows equal in both are one document. What goes is listed by id and
+    digest: texts move only if that list is too long for Spark to broadcast.
     """
-    groups = near_duplicates(docs, shingle, radius)
-    stay = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.filter("doc_id IS NOT NULL").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*[F.col(f"`{x}`") for x in docs.columns]).unionByName(docs.filter("doc_id IS NULL"))
+    c = F.col
+    slim, codes = grouped(docs, shingle, radius)
+    table = codes.select("fp", "copies", c("least.doc_id").alias("_id"), c("least.digest").alias("_digest"))
+    rows = heavy_lookup(slim, table, ["fp"], "copies")
+    first = c("doc_id").eqNullSafe(c("_id")) & (c("digest") == c("_digest"))
+    known = staged(rows.groupBy("doc_id", "digest").agg(F.max(first).alias("first"), F.count(F.lit(1)).alias("n")), "simhash-known")
+    listed = known.filter("NOT first OR n > 1").select(c("doc_id").alias("_dedup_id"), c("digest").alias("_dedup_digest"), c("first").alias("_dedup_first"))
+    keyed = docs.withColumn("_dedup_key", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    joined = keyed.join(listed, c("doc_id").cast("long").eqNullSafe(c("_dedup_id")) & (c("_dedup_key") == c("_dedup_digest")), "left")
+    alone = joined.filter("_dedup_first IS NULL")
+    again = joined.filter("_dedup_first").dropDuplicates(["_dedup_id", "_dedup_key"])
+    return alone.unionByName(again).select(*[c(f"`{x}`") for x in docs.columns])

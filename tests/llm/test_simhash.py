@@ -104,3 +104,13 @@ def test_awkward_rows(spark):
     assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 1, 3, 6, 7, 8, 9]
     assert simhash.near_duplicates(empty(spark)).count() == 0
     assert simhash.keep_one(empty(spark)).count() == 0
+
+
+def test_keep_one_decides_by_row(spark):
+    """Rows that share an id but not the text are different documents."""
+    a, b = "one two three four five six", "quite another text of several words here"
+    kept = lambda rows: sorted(tuple(r) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert kept([(3, a), (8, a), (8, b)]) == [(3, a), (8, b)]
+    assert kept([(8, a), (8, b)]) == kept([(8, b), (8, a)]) == sorted([(8, a), (8, b)])
+    assert kept([(8, a), (8, a), (9, a)]) == [(8, a)]
+    assert [r[1] for r in simhash.keep_one(spark.createDataFrame([(None, a), (None, a), (None, b)], "doc_id long, text string")).orderBy("text").collect()] == sorted([a, b])
