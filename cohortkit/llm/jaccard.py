@@ -116,9 +116,12 @@ def ordered_sets(docs: DataFrame, chosen: DataFrame, size: int, percent: int, fr
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), _lists(sets)], ["d1", "d2", "toks"])
 
     sets = texts.mapInArrow(run, "d1 long, d2 long, toks array<long>").join(chosen.select("cls", "n", "d1", "d2"), ["d1", "d2"])
-    rows = staged(sets.select("cls", "n", "toks"), "jaccard-tokens").select("cls", "n", F.explode("toks").alias("tok"))
-    often = rows.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    often = staged(often.select("tok", "df", F.floor(8 * F.log2("df")).cast("int").alias("ord"), F.shiftright("tok", 58).cast("int").alias("sub")), "jaccard-order")
+    sets = staged(sets.select("cls", "n", "toks"), "jaccard-tokens")
+    counts = staged(sets.select("cls", F.explode("toks").alias("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("df"), F.min("cls").alias("cls")), "jaccard-counts")
+    own = counts.filter("df = 1").groupBy("cls").agg(F.count(F.lit(1)).alias("own"))
+    left = sets.join(own, "cls", "left").filter(F.coalesce("own", F.lit(0)) <= F.expr(_spare(percent)))
+    rows = left.select("cls", "n", F.explode("toks").alias("tok"))
+    often = counts.filter("df > 1").select("tok", "df", F.floor(8 * F.log2("df")).cast("int").alias("ord"), F.shiftright("tok", 58).cast("int").alias("sub"))
     cuts = often.groupBy("ord", "sub").agg(F.sum("df").alias("weight"))
     ahead = W.orderBy("ord", "sub").rowsBetween(W.unboundedPreceding, -1)  # over 64 rows per step of the order, a few thousand at any size
     cuts = cuts.withColumn("ahead", F.coalesce(F.sum("weight").over(ahead), F.lit(0)))
