@@ -184,11 +184,20 @@ def grades_persistent(spark, d):
 
 
 @query("I12_infer_event_schema", sql("log", """SELECT * FROM (SELECT 'attempts' AS path, 'BIGINT' AS types, count(*) AS n, false AS conflict FROM log UNION ALL SELECT 'mixed', 'BIGINT,STRING', count(*), true FROM log
- UNION ALL SELECT 'state', 'OBJECT', count(*), false FROM log UNION ALL SELECT 'state.grade', 'DOUBLE', count(*), false FROM log)"""))
+ UNION ALL SELECT 'state', 'OBJECT', count(*), false FROM log UNION ALL SELECT 'state.grade', 'DOUBLE', count(*), false FROM log
+ UNION ALL SELECT 'state.parts', 'ARRAY', count(*), false FROM log UNION ALL SELECT 'state.parts[]', 'OBJECT', sum(1 + length(event_type) % 2)::BIGINT, false FROM log
+ UNION ALL SELECT 'state.parts[].id', 'BIGINT', sum(1 + length(event_type) % 2)::BIGINT, false FROM log UNION ALL SELECT 'state.parts[].seen', 'OBJECT', count(*), false FROM log
+ UNION ALL SELECT 'state.parts[].seen.' || event_type, CASE WHEN length(event_type) % 2 = 0 THEN 'BIGINT' ELSE 'BOOLEAN' END, count(*), false FROM log GROUP BY event_type
+ UNION ALL SELECT 'state.parts[].seen.last', 'BOOLEAN,STRING,VOID', count(*), true FROM log)"""))
 def infer_event_schema(spark, d):
-    log = keyed_log(spark, d)
-    line = F.concat(F.lit('{"attempts": '), F.when(c("k") % 2 == 0, F.concat(F.lit('"'), c("k").cast("string"), F.lit('"'))).otherwise(c("k").cast("string")),
-                    F.lit(', "mixed": '), F.when(c("k") % 2 == 0, F.lit('"abc"')).otherwise(c("k").cast("string")), F.lit(', "state": {"grade": 0.25}}'))
+    """Lines made of the events, with objects in arrays, a field per event type at depth five and one of several types there."""
+    log = keyed_log(spark, d).withColumn("even", F.length("event_type") % 2 == 0)
+    number = c("k").cast("string")
+    last = F.when(c("k") % 3 == 0, "null").when(c("k") % 3 == 1, '"abc"').otherwise("true")
+    line = F.concat(F.lit('{"attempts": '), F.when(c("k") % 2 == 0, F.concat(F.lit('"'), number, F.lit('"'))).otherwise(number),
+                    F.lit(', "mixed": '), F.when(c("k") % 2 == 0, F.lit('"abc"')).otherwise(number), F.lit(', "state": {"grade": 0.25, "parts": ['),
+                    F.when(c("even"), "").otherwise('{"id": 7}, '), F.lit('{"id": "12", "seen": {"'), c("event_type"), F.lit('": '),
+                    F.when(c("even"), "3").otherwise("true"), F.lit(', "last": '), last, F.lit("}}]}}"))
     out = L.infer_event_schema(log.select(line.alias("value")))
     return out.select("path", F.array_join("types", ",").alias("types"), "n", "conflict")
 

@@ -57,3 +57,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again: cuts the lineage and lets later steps read the columns they use."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
