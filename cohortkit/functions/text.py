@@ -47,8 +47,12 @@ def _script_cost(text: Column) -> Column:
 
 
 def _as_utf8(text: Column) -> Column:
-    """The characters taken as bytes of UTF-8; null when they are not."""
-    return F.try_validate_utf8(F.encode(text, "ISO-8859-1").cast("string"))
+    """The characters taken as bytes of UTF-8; bytes that are none become replacement characters, which cost 100 each.
+
+    Null without a sequence that UTF-8 could mean: then every odd byte would be an error.
+    """
+    likely = text.rlike("[\u00c2-\u00f4][\u0080-\u00bf]")
+    return F.when(likely, F.make_valid_utf8(F.encode(text, "ISO-8859-1").cast("string")))
 
 
 def _one_round(text: Column) -> Column:

@@ -228,11 +228,18 @@ def grading_policy(spark, d):
     return D.grading_policy(n.select("course_id", doc.alias("policy")), ["A", "Pass"])
 
 
-@query("I16_repair_text", "SELECT doc_id, text FROM documents")
+TITLE = "Сообщение о новых занятиях и заданиях этой недели для всех слушателей курса математики и физики"
+
+
+@query("I16_repair_text", f"""SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN text || ' {TITLE[:-1]}' || chr(65533) ELSE text || ' ' || chr(65533) || ' {TITLE}' END AS text FROM documents""")
 def repair_text(spark, d):
+    """Texts read with the wrong character set; a third of them cut within the last character, a third with a stray byte."""
     docs = T.load(spark, d, "documents")
-    broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
-    return X.repair_text(docs.select("doc_id", broken.alias("text")), ["text"])
+    whole = F.encode(F.concat("text", F.lit(f" {TITLE}")), "UTF-8")
+    cut = F.substr(whole, F.lit(1), F.octet_length(whole) - 1)
+    stray = F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("20FF20")), F.encode(F.lit(TITLE), "UTF-8"))
+    data = F.when(c("doc_id") % 3 == 0, F.encode("text", "UTF-8")).when(c("doc_id") % 3 == 1, cut).otherwise(stray)
+    return X.repair_text(docs.select("doc_id", F.decode(data, "ISO-8859-1").alias("text")), ["text"])
 
 
 @query("I17_export_combine", sql("axis", "SELECT course_id, index, category, name FROM axis"))

@@ -17,6 +17,8 @@ SOME = ["E1_person_course_day", "E3_pcday_trlang_counts", "E13_time_on_task", "E
         "F2_forum_person", "C1_course_axis", "C9_cert_rates_by_registration", "Q1_problem_analysis", "Q7_course_item", "Q13_item_reliability_complete",
         "A6_show_ans_before", "A9_name_similarity", "G1_account_groups", "I5_add_module_id", "I16_repair_text", "M1_incremental_append", "M7_time_on_task_stream"]
 
+LIBRARY = [x for x, build in entry.queries().items() if build.__module__.startswith("cohortkit.plans.")]
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -27,10 +29,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    """Every query of the library; those on documents may have a brute-force test instead, which tests/llm asks for."""
+    assert set(LIBRARY) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()) if os.environ.get("COHORTKIT_ALL") else SOME)
+@pytest.mark.parametrize("name", [x for x in entry.queries() if x in entry.oracle_sql()] if os.environ.get("COHORTKIT_ALL") else SOME)
 def test_query_matches_sql(spark, con, name):
     df = entry.queries()[name](spark, SF)
     got = canon(df.columns, [tuple(r) for r in df.collect()])
