@@ -34,7 +34,7 @@ BLOCK_SETS, BLOCK_SHINGLES = 512, 1 << 21
 #: Columns of shingles that a block counts at once.
 COLUMNS = 4096
 
-SETS = "doc_id long, text_key string, n long, d1 long, d2 long, probe array<long>"
+SETS = "doc_id long, text_key long, n long, d1 long, d2 long, probe array<long>"
 
 
 def shingles(text: bytes, size: int = SHINGLE) -> np.ndarray:
@@ -69,7 +69,7 @@ def shingle_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                 pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()),
                 _lists([s[s < -(1 << 62)] for s in sets])], ["doc_id", "text_key", "n", "d1", "d2", "probe"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.col("text").cast("binary")).alias("text_key"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     return staged(rows.mapInArrow(run, SETS), "jaccard-sets")
 
 
@@ -103,11 +103,13 @@ def ordered_sets(docs: DataFrame, chosen: DataFrame, size: int, percent: int, fr
 
     ``toks`` are the shingles that at least two sets have, (ord, frag, tok), in global order:
     by frequency in steps of an eighth of its logarithm, then by hash. Only the texts of the
-    chosen classes are read again, each once.
+    chosen classes are read again, each once; they are found by a hash, kept as a table of
+    its own so that it is as short as can be.
     """
     c = F.col
-    keyed = docs.select(F.md5(F.col("text").cast("binary")).alias("text_key"), "text")
-    texts = keyed.join(chosen.select("text_key"), "text_key", "left_semi").dropDuplicates(["text_key"]).select("text")
+    keys = staged(chosen.select("text_key").distinct(), "jaccard-keys")
+    texts = docs.select(F.xxhash64("text").alias("text_key"), "text").join(keys, "text_key", "left_semi")
+    texts = texts.withColumn("digest", F.md5(F.col("text").cast("binary"))).dropDuplicates(["digest"]).select("text")
 
     def run(batches):
         for batch in batches:
