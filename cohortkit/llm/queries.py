@@ -50,19 +50,19 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SECRETS_SQL = r"""
-WITH docs AS (SELECT doc_id, source, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents),
+WITH docs AS (SELECT doc_id, source, row_number() OVER () AS r, coalesce(text, '') AS t, md5(coalesce(text, '')) AS repo FROM documents),
 pats(kind, name, pat, grp, least) AS (VALUES
   (0, 'assign', '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 8),
   (1, 'access', 'AKIA[A-Z0-9]+', 0, 16), (2, 'hex', '[0-9a-f]{32,}', 0, 32), (3, 'bare', '[A-Za-z0-9+/_=-]{20,}', 0, 20)),
-m AS (SELECT doc_id, source, r, kind, name, least, regexp_extract_all(t, pat) AS ms, string_split_regex(t, pat) AS gs,
+m AS (SELECT doc_id, source, repo, r, kind, name, least, regexp_extract_all(t, pat) AS ms, string_split_regex(t, pat) AS gs,
         CASE WHEN grp = 2 THEN regexp_extract_all(t, pat, 2) ELSE regexp_extract_all(t, pat) END AS vs FROM docs, pats),
-e AS (SELECT doc_id, source, r, kind, name, least, unnest(range(1, len(ms) + 1)) AS i, ms, gs, vs FROM m WHERE len(ms) > 0),
-s AS (SELECT doc_id, source, r, kind, name, vs[i] AS v, least,
+e AS (SELECT doc_id, source, repo, r, kind, name, least, unnest(range(1, len(ms) + 1)) AS i, ms, gs, vs FROM m WHERE len(ms) > 0),
+s AS (SELECT doc_id, source, repo, r, kind, name, vs[i] AS v, least,
         list_sum(list_transform(gs[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i-1], lambda x: length(x))), 0) AS a, length(ms[i]) AS n FROM e),
 k AS (SELECT *, a + n AS b FROM s WHERE length(v) >= least AND (kind < 3 OR (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]')
         AND regexp_matches(v, '[A-Z]') AND len(list_distinct(string_split(v, ''))) >= 10))),
-o AS (SELECT v, count(DISTINCT source) AS owners FROM k GROUP BY v),
-f AS (SELECT k.*, owners <= 1 AS live FROM k JOIN o USING (v)),
+o AS (SELECT v, count(DISTINCT source) AS owners, count(DISTINCT repo) AS repositories FROM k GROUP BY v),
+f AS (SELECT k.*, NOT (owners > 2 AND repositories > 2) AS live FROM k JOIN o USING (v)),
 g AS (SELECT * FROM f WHERE kind < 3 OR (live AND NOT EXISTS (SELECT 1 FROM f x WHERE x.r = f.r AND x.kind < 3 AND x.a < f.b AND f.a < x.b)))
 SELECT d.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
   sha256(coalesce(string_agg(name || ':' || a::BIGINT || ':' || b::BIGINT, ',' ORDER BY a, kind) FILTER (kind < 3), '')) AS base_sha256,
@@ -74,7 +74,7 @@ FROM docs d LEFT JOIN g ON d.r = g.r GROUP BY d.r, d.doc_id
 
 @query("op5_secrets", SECRETS_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets of every document; sources are the owners."""
+    """Secrets of every document; sources are the owners, distinct texts the repositories."""
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
