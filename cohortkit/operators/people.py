@@ -11,9 +11,12 @@ from cohortkit.functions.scale import count_if, most_frequent, range_lookup, rat
 
 KEY = ["course_id", "user_id"]
 USER = ["course_id", "username"]
-PROFILE = ["name", "gender", "year_of_birth", "level_of_education", "country"]
+# Fields of the profile and certificate dumps (fixed values).
+PROFILE = ["name", "language", "location", "meta", "courseware", "gender", "mailing_address", "year_of_birth", "level_of_education", "goals",
+           "allow_certificate", "country", "city"]
 ENROLLMENT = ["course_id", "created", "is_active", "mode"]
-CERTIFICATE = ["course_id", "grade", "status", "created_date", "modified_date"]
+CERTIFICATE = ["download_url", "grade", "course_id", "key", "distinction", "status", "verify_uuid", "download_uuid", "name", "created_date",
+               "modified_date", "error_reason", "mode"]
 # Role name in the dumps -> output column (fixed values).
 COURSE_ROLES = {
     "beta_testers": "roles_isBetaTester", "instructor": "roles_isInstructor", "staff": "roles_isStaff",
@@ -27,13 +30,12 @@ FORUM_ROLES = {
 
 
 def _prefixed(df: DataFrame, prefix: str, fields: list[str]) -> DataFrame:
-    """Key plus the fields present, each with a prefix; the row's own course is un-mangled."""
+    """Key plus the fields, each with a prefix and null where the dump lacks it; the row's own course is un-mangled."""
     cols = [F.col("course_id"), F.col("user_id")]
     for f in fields:
         src = "row_course_id" if f == "course_id" else f
-        if src in df.columns:
-            col = plain_course_id(F.col(src)) if f == "course_id" else F.col(src)
-            cols.append(col.alias(f"{prefix}_{f}"))
+        col = F.col(src) if src in df.columns else F.lit(None).cast("string")
+        cols.append((plain_course_id(col) if f == "course_id" else col).alias(f"{prefix}_{f}"))
     return df.select(*cols)
 
 
@@ -52,8 +54,8 @@ def user_info_combo(
     Every input has ``course_id`` (the course the dump belongs to) and ``user_id``;
     enrolments and certificates name their own course in ``row_course_id``. ``alt``
     (``users``, ``profiles``, ``enrollment``) fills users, profiles and enrolments that
-    are missing; a filled profile is marked ``y1_anomalous`` and such a learner is left
-    out when enrolled after ``cutoff``. Rows whose own course differs are dropped.
+    are missing; a filled profile, of which empty values count as missing, is marked
+    ``y1_anomalous`` and such a learner is left out when enrolled after ``cutoff``. Rows whose own course differs are dropped.
     """
     core = users.select(*KEY, *[c for c in users.columns if c not in KEY])
     core = core.join(_prefixed(profiles, "profile", PROFILE), KEY, "full")
@@ -72,7 +74,8 @@ def user_info_combo(
         fill = F.col("_filled") & (F.coalesce(F.col("profile_name"), F.lit("")) == "")
         core = core.withColumn("_fill", F.coalesce(fill, F.lit(False)))
         for f in PROFILE:
-            core = core.withColumn(f"profile_{f}", F.when(F.col("_fill"), F.col(f"alt_{f}")).otherwise(F.col(f"profile_{f}")))
+            given = F.when(F.col("_fill") & (F.col(f"alt_{f}").cast("string") != ""), F.col(f"alt_{f}"))
+            core = core.withColumn(f"profile_{f}", F.coalesce(given, F.col(f"profile_{f}")))
         core = core.withColumn("y1_anomalous", F.when(F.col("_fill"), F.lit(1).cast("long")))
         core = core.drop("_fill", "_filled", *[f"alt_{f}" for f in PROFILE])
         enr = _prefixed(alt["enrollment"], "alt", ENROLLMENT).withColumn("_enr", F.lit(True))

@@ -19,7 +19,10 @@ def dumps(spark, d):
     u = c("user_id")
     key = ["course_id", "user_id"]
     prof = [F.concat(F.lit("n"), u.cast("string")).alias("name"), "gender", c("YoB").alias("year_of_birth"),
-            c("LoE").alias("level_of_education"), c("cc_by_ip").alias("country")]
+            c("LoE").alias("level_of_education"), c("cc_by_ip").alias("country"), F.when(u % 2 == 0, "en").otherwise("fr").alias("language"),
+            F.concat(F.lit("at "), u.cast("string")).alias("location"), F.concat(F.lit("street "), u.cast("string")).alias("mailing_address"),
+            F.when(u % 9 == 0, "").otherwise(F.concat(F.lit("g"), u.cast("string"))).alias("goals"), (u % 2).cast("string").alias("allow_certificate"),
+            F.concat(F.lit("c"), (u % 11).cast("string")).alias("city")]
     own = F.when(u % 17 == 0, F.lit("Other/X/T")).when(u % 2 == 1, F.concat(F.lit("course-v1:"), F.translate("course_id", "/", "+"))).otherwise(c("course_id"))
     enr = pc.select(*key, own.alias("row_course_id"), c("start_time").alias("created"), "is_active", "mode")
     return {
@@ -28,7 +31,10 @@ def dumps(spark, d):
         "enrollment": enr.filter(u % 6 != 0),
         "certificates": pc.filter("grade > 0.5").select(
             *key, own.alias("row_course_id"), "grade", F.when(c("grade") > 0.65, "downloadable").otherwise("notpassing").alias("status"),
-            c("last_event").alias("created_date"), c("last_event").alias("modified_date")),
+            c("last_event").alias("created_date"), c("last_event").alias("modified_date"),
+            F.concat(F.lit("https://x.org/"), u.cast("string")).alias("download_url"), F.md5(u.cast("string")).alias("key"),
+            F.when(u % 10 == 0, "1").otherwise("0").alias("distinction"), F.concat(F.lit("n"), u.cast("string")).alias("name"), "mode",
+            F.when(c("grade") <= 0.65, "low grade").alias("error_reason")),
         "id_map": pc.filter(u % 3 == 0).select(*key, F.md5("username").alias("hash_id")),
         "alt": {"users": pc.select(*key, "username", "email"), "profiles": pc.filter(u % 8 != 0).select(*key, *prof),
                 "enrollment": enr},
@@ -48,18 +54,28 @@ UIC = """u0 AS (SELECT course_id, user_id, username, email, mode, is_active, sta
   CASE WHEN has_name THEN b.email END AS email,
   CASE WHEN has_prof THEN 'n'||b.user_id END AS profile_name, CASE WHEN has_prof THEN b.gender END AS profile_gender,
   CASE WHEN has_prof THEN b.YoB END AS profile_year_of_birth, CASE WHEN has_prof THEN b.LoE END AS profile_level_of_education,
-  CASE WHEN has_prof THEN b.cc_by_ip END AS profile_country, b.start_time AS enrollment_created, b.is_active AS enrollment_is_active,
+  CASE WHEN has_prof THEN b.cc_by_ip END AS profile_country, a.mode AS own_mode,
+  CASE WHEN has_prof AND b.user_id IS NOT NULL THEN CASE WHEN b.user_id%2=0 THEN 'en' ELSE 'fr' END END AS profile_language,
+  CASE WHEN has_prof THEN 'at '||b.user_id END AS profile_location, CASE WHEN has_prof THEN 'street '||b.user_id END AS profile_mailing_address,
+  CASE WHEN has_prof AND b.user_id%9<>0 THEN 'g'||b.user_id WHEN has_prof AND b.user_id%4<>0 THEN '' END AS profile_goals,
+  CASE WHEN has_prof THEN CAST(b.user_id%2 AS VARCHAR) END AS profile_allow_certificate, CASE WHEN has_prof THEN 'c'||(b.user_id%11) END AS profile_city,
+  b.start_time AS enrollment_created, b.is_active AS enrollment_is_active,
   b.mode AS enrollment_mode, CASE WHEN filled AND b.user_id IS NOT NULL THEN 1 END AS y1_anomalous,
   CASE WHEN b.user_id IS NULL THEN a.course_id ELSE a.own END AS enrollment_course_id
   FROM u0 a LEFT JOIN u2 b ON a.course_id=b.course_id AND a.user_id=b.user_id
   WHERE b.user_id IS NOT NULL OR a.user_id%5=0 OR a.grade>0.5 OR a.user_id%3=0),
  uic AS (SELECT course_id, user_id, username, email, profile_name, profile_gender, profile_year_of_birth, profile_level_of_education,
-  profile_country, enrollment_created, enrollment_is_active, enrollment_mode, y1_anomalous, enrollment_course_id,
+  profile_country, profile_language, profile_location, NULL::VARCHAR AS profile_meta, NULL::VARCHAR AS profile_courseware, profile_mailing_address,
+  profile_goals, profile_allow_certificate, profile_city, enrollment_created, enrollment_is_active, enrollment_mode, y1_anomalous, enrollment_course_id,
   CASE WHEN user_id%5=0 THEN round(1-grade,4) END AS edxinstructordash_Grade,
   CASE WHEN user_id%5=0 THEN CASE WHEN user_id%2=0 THEN '2001-01-01 00:00:00' ELSE '1999-01-01 00:00:00' END END AS edxinstructordash_Grade_timestamp,
   CASE WHEN grade>0.5 THEN own END AS certificate_course_id, CASE WHEN grade>0.5 THEN grade END AS certificate_grade,
   CASE WHEN grade>0.65 THEN 'downloadable' WHEN grade>0.5 THEN 'notpassing' END AS certificate_status,
   CASE WHEN grade>0.5 THEN last_event END AS certificate_created_date, CASE WHEN grade>0.5 THEN last_event END AS certificate_modified_date,
+  CASE WHEN grade>0.5 THEN 'https://x.org/'||user_id END AS certificate_download_url, CASE WHEN grade>0.5 THEN md5(CAST(user_id AS VARCHAR)) END AS certificate_key,
+  CASE WHEN grade>0.5 THEN CASE WHEN user_id%10=0 THEN '1' ELSE '0' END END AS certificate_distinction, NULL::VARCHAR AS certificate_verify_uuid,
+  NULL::VARCHAR AS certificate_download_uuid, CASE WHEN grade>0.5 THEN 'n'||user_id END AS certificate_name,
+  CASE WHEN grade>0.5 AND grade<=0.65 THEN 'low grade' END AS certificate_error_reason, CASE WHEN grade>0.5 THEN own_mode END AS certificate_mode,
   CASE WHEN user_id%3=0 THEN md5('u'||user_id) END AS id_map_hash_id FROM u3 WHERE enrollment_course_id=course_id)"""
 
 
