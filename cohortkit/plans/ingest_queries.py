@@ -59,7 +59,7 @@ _KNOWN = "t='signup' OR (t='view' AND (d<=3 OR d=6)) OR (t='purchase' AND k%2=1)
 
 @query("I4_rephrase_events", sql("log", f"""SELECT event_id, event_type, CASE WHEN t='click' AND d<=8 THEN 'a_b,child_id' WHEN t='click' THEN '' WHEN {_KNOWN} THEN 'GET,other' ELSE 'GET' END AS payload_keys,
  CASE WHEN t='click' THEN NULL ELSE '{{"q":"1"}}' END AS get_value, '{{"oldagent":"ua","client":"app"}}' AS agent, '{{"old_mongoid":"m'||event_id||'","referer":"r"'||CASE WHEN t='click' AND d<=8 THEN ',"content":"c"}}'
- WHEN t='click' THEN ',"num_attempts":"3"}}' ELSE '}}' END AS mongoid, k%2=0 AS has_user FROM log"""))
+ WHEN t='click' THEN ',"num_attempts":"3"}}' ELSE '}}' END AS mongoid, k%2=0 AS has_user, CASE WHEN k%3=0 THEN '{{"new_field":"5","other_new":"{{\\"a\\":[1]}}"}}' END AS unlisted FROM log"""))
 def rephrase_events(spark, d):
     log = keyed_log(spark, d)
     click = ~c("event_type").startswith("/") & (c("event_type").contains("problem_") | (c("event_type") == "seq_goto"))
@@ -69,12 +69,12 @@ def rephrase_events(spark, d):
         is_click, F.lit('{"num_attempts": 3}')).otherwise(F.lit('{"GET": {"q":"1"}, "other": 5}'))
     user = F.when(c("k") % 2 == 0, c("context.user_id").cast("string")).otherwise(F.lit(""))
     line = F.concat(F.lit('{"_id": {"$oid": "m'), c("event_id").cast("string"), F.lit('"}, "event_type": "'), c("event_type"), F.lit('", "event_source": "server", "referer": "r", "course_id": "'),
-                    c("course_id"), F.lit('", "time": "2024-01-01T00:00:00Z", "context": {"user_id": "'), user, F.lit('", "client": "app", "agent": "ua"}, "event": '), event, F.lit("}"))
+                    c("course_id"), F.lit('", "time": "2024-01-01T00:00:00Z", "context": {"user_id": "'), user, F.lit('", "client": "app", "agent": "ua"}, "event": '), event, F.when(c("k") % 3 == 0, F.lit(', "new_field": 5, "other_new": {"a": [1]}}')).otherwise(F.lit("}")))
     out = L.rephrase_events(log.select(line.alias("value")))
     return out.select(
         F.substring(F.get_json_object("mongoid", "$.old_mongoid"), 2, 20).cast("long").alias("event_id"), "event_type",
         F.array_join(F.array_sort(F.map_keys("event_struct")), ",").alias("payload_keys"), c("event_struct")["GET"].alias("get_value"),
-        c("context")["agent"].alias("agent"), "mongoid", c("context")["user_id"].isNotNull().alias("has_user"))
+        c("context")["agent"].alias("agent"), "mongoid", c("context")["user_id"].isNotNull().alias("has_user"), "unlisted")
 
 
 @query("I5_add_module_id", sql("log", """SELECT event_id, CASE k%8 WHEN 0 THEN org||'/video/b'||k WHEN 1 THEN org||'/forum/T'||k WHEN 2 THEN org||'/jump_to_id/j'||k WHEN 3 THEN org||'/problem/q'||k
