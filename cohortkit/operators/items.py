@@ -272,7 +272,7 @@ def item_reliability(scores: DataFrame, missing: str = "complete") -> DataFrame:
 
     ``scores``: course_id, user_id, problem_nid, y. Items that do not vary are dropped.
     ``missing='complete'`` uses learners who have every remaining item; ``'zero'`` counts a
-    missing item as 0. With complete rows the covariances of the other items sum to the
+    missing item as 0, from the sums of the scores that are there. With complete rows the covariances of the other items sum to the
     variance of their total minus their own variances, so no item pairs are formed.
     """
     c, item = F.col, ["course_id", "problem_nid"]
@@ -280,17 +280,14 @@ def item_reliability(scores: DataFrame, missing: str = "complete") -> DataFrame:
     rows = salted_lookup(scores.filter("y IS NOT NULL"), varying, item, "inner", salt_by=["user_id"])
     k = varying.groupBy("course_id").agg(F.count(F.lit(1)).alias("k"))
     totals = salted_lookup(rows.groupBy(*KEY).agg(F.sum("y").alias("total"), F.count(F.lit(1)).alias("have")), k, ["course_id"], salt_by=["user_id"])
+    rest = c("total") - c("y")
     if missing == "complete":
-        totals = totals.filter("have = k")
-        full = rows.join(totals, KEY, "inner")
+        full = rows.join(totals.filter("have = k"), KEY, "inner")
+        stats = full.groupBy(*item).agg(
+            F.count(F.lit(1)).alias("nobs"), F.avg("y").alias("mean"), F.var_samp("y").alias("vy"), F.var_samp(rest).alias("vrest"),
+            safe_corr("y", "total").alias("itemtestcorr"), safe_corr("y", rest).alias("itemrestcorr"), F.first("k").alias("k"))
     else:
-        grid = salted_lookup(totals, varying.groupBy("course_id").agg(F.collect_list("problem_nid").alias("nids")), ["course_id"], salt_by=["user_id"])
-        grid = grid.withColumn("problem_nid", F.explode("nids")).drop("nids")
-        full = grid.join(rows, [*KEY, "problem_nid"], "left").withColumn("y", F.coalesce("y", F.lit(0.0)))
-    rest = c("total") - c("y")
-    stats = full.groupBy(*item).agg(
-        F.count(F.lit(1)).alias("nobs"), F.avg("y").alias("mean"), F.var_samp("y").alias("vy"), F.var_samp(rest).alias("vrest"),
-        safe_corr("y", "total").alias("itemtestcorr"), safe_corr("y", rest).alias("itemrestcorr"), F.first("k").alias("k"))
+        stats = _zero_filled(rows, totals, item)
     others = F.sum("vy").over(W.partitionBy("course_id")) - c("vy")  # one row per item of the course
     stats = stats.withColumn("others", others)
     m = c("k") - 1
@@ -300,6 +297,30 @@ def item_reliability(scores: DataFrame, missing: str = "complete") -> DataFrame:
         ratio(c("vrest") - c("others"), m * (m - 1)).alias("itemitemcov"))
 
 
+def _zero_filled(rows: DataFrame, totals: DataFrame, item: list[str]) -> DataFrame:
+    """Statistics per item with every missing score of a course's learners counted as 0, without rows for them.
+
+    A missing score adds nothing to the sums of y, of its square and of its product with the
+    learner's total; only the number of learners and the sums of all totals must be known.
+    """
+    c = F.col
+    learners = totals.groupBy("course_id").agg(
+        F.count(F.lit(1)).alias("nobs"), F.sum("total").alias("t"), F.sum(c("total") * c("total")).alias("tt"), F.first("k").alias("k"))
+    present = rows.join(totals.select(*KEY, "total"), KEY, "inner").groupBy(*item).agg(
+        F.sum("y").alias("s"), F.sum(c("y") * c("y")).alias("ss"), F.sum(c("y") * c("total")).alias("st"))
+    both = salted_lookup(present, learners, ["course_id"], "inner", salt_by=["problem_nid"])
+    n = c("nobs")
+    # sums of products about the means; differences below rounding are nothing
+    product = lambda xy, x, y: F.when(F.abs(xy - x * y / n) > 1e-12 * F.abs(xy), xy - x * y / n).otherwise(F.lit(0.0))
+    both = both.select(*item, "nobs", "k", (c("s") / n).alias("mean"), product(c("ss"), c("s"), c("s")).alias("yy"),
+                       product(c("st"), c("s"), c("t")).alias("yt"), product(c("tt"), c("t"), c("t")).alias("tt"))
+    rest = c("tt") + c("yy") - 2 * c("yt")
+    both = both.withColumn("rr", F.when(rest > 1e-12 * (c("tt") + c("yy")), rest).otherwise(F.lit(0.0)))
+    return both.select(
+        *item, "nobs", "k", "mean", ratio(c("yy"), n - 1).alias("vy"), ratio(c("rr"), n - 1).alias("vrest"),
+        ratio(c("yt"), F.sqrt(c("yy") * c("tt"))).alias("itemtestcorr"), ratio(c("yt") - c("yy"), F.sqrt(c("yy") * c("rr"))).alias("itemrestcorr"))
+
+
 def irt_report(params: DataFrame, ci: DataFrame, cp: DataFrame, rel: DataFrame | None = None) -> DataFrame:
     """Fitted item parameters with problem statistics; of several fits per course the newest is used.
 

@@ -261,6 +261,16 @@ def load_table(spark, d):
     return D.load_table(spark, path, schema, max_bad=1 << 40).select("course_id", "time", "username", "event_type")
 
 
+@query("I18_load_rejects", sql("log", "SELECT count(*) FILTER (k%11=0) AS n_cut, count(*) FILTER (k%11<>0 AND k%7=0) AS n_prefixed FROM log"))
+def load_rejects(spark, d):
+    path = scratch_path(spark, "load")
+    json_lines(spark, d).select("value").write.text(path)
+    schema = T_.StructType([T_.StructField(n, T_.TimestampType() if n == "time" else T_.StringType()) for n in LINE_FIELDS])
+    rejects = D.load_checked(spark, path, schema, max_bad=1 << 40)[1]
+    prefixed = c("record").startswith("Dec ")
+    return rejects.agg(F.count(F.when(~prefixed, 1)).alias("n_cut"), F.count(F.when(prefixed, 1)).alias("n_prefixed"))
+
+
 @query("I19_duplicates", sql("pc", "SELECT user_id, count(*) AS n FROM pc GROUP BY 1 HAVING count(*)>1"))
 def duplicates(spark, d):
     return D.duplicates(T.person_course(spark, d), ["user_id"])

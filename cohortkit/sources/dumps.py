@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from cohortkit.session import cut_lineage
+from cohortkit.session import scratch_path
 
 WEIGHT_TOLERANCE = 0.001  # fixed value
 
@@ -27,17 +27,32 @@ def match_course(files: DataFrame, courses: DataFrame) -> DataFrame:
     return files.join(best, "file", "left")
 
 
-def load_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json", max_bad: int = 0) -> DataFrame:
-    """A JSON or CSV file as a table; more than ``max_bad`` records that do not parse are an error."""
+def load_checked(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json", max_bad: int = 0, target: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """A JSON or CSV file as a Parquet table below ``target``: (its rows, the records that do not parse).
+
+    The file is read once: the pass that writes the table also counts the bad records, and
+    puts them in a folder of their own. More than ``max_bad`` are an error; what was written
+    stays below ``target`` to look at. Rejects have the parsed columns and ``record``.
+    """
     full = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     reader = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
     df = reader.option("header", True).csv(path) if fmt == "csv" else reader.json(path)
-    # the mark can only be queried on a stored copy of all parsed columns
-    df = cut_lineage(df)
-    bad = df.filter("_corrupt_record IS NOT NULL").count()
-    if bad > max_bad:
-        raise ValueError(f"{bad} bad records, at most {max_bad} allowed")
-    return df.filter("_corrupt_record IS NULL").drop("_corrupt_record")
+    bad, target = F.col("_corrupt_record").isNotNull(), target or scratch_path(spark, "load")
+    seen = Observation()
+    marked = df.withColumn("_bad", bad).observe(seen, F.count(F.when(F.col("_bad"), 1)).alias("bad"))
+    marked.write.partitionBy("_bad").parquet(target)
+    if seen.get["bad"] > max_bad:
+        raise ValueError(f"{seen.get['bad']} bad records, at most {max_bad} allowed; see {target}")
+    stored = spark.read.schema(T.StructType([*full.fields, T.StructField("_bad", T.BooleanType())])).parquet(target)
+    return (stored.filter("NOT _bad").drop("_bad", "_corrupt_record"),
+            stored.filter("_bad").drop("_bad").withColumnRenamed("_corrupt_record", "record"))
+
+
+def load_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json", max_bad: int = 0) -> DataFrame:
+    """A JSON or CSV file as a table; more than ``max_bad`` records that do not parse are an error."""
+    return load_checked(spark, path, schema, fmt, max_bad)[0]
 
 
 def _at(json: str, path: str) -> Column:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F, types as T
 
 from cohortkit.operators.events import time_on_task
 from cohortkit.schema import conform
-from cohortkit.sources.dumps import load_table
+from cohortkit.sources.dumps import load_checked, load_table
 from cohortkit.sources.sinks import combine, export
 from cohortkit.streaming import incremental as N, streams as S
 
@@ -80,6 +80,11 @@ def test_load_and_export(spark, tmp_path):
     assert load_table(spark, str(bad), schema, max_bad=1).count() == 1
     with pytest.raises(ValueError):
         load_table(spark, str(bad), schema)
+    rows, rejects = load_checked(spark, str(bad), schema, max_bad=1, target=str(tmp_path / "loaded"))
+    assert [tuple(r) for r in rows.collect()] == [(1, "x")] and rows.columns == ["a", "b"]
+    assert [r.record for r in rejects.collect()] == ['{"a": oops}']
+    (tmp_path / "none.json").write_text("")
+    assert [x.count() for x in load_checked(spark, str(tmp_path / "none.json"), schema)] == [0, 0]
     df = spark.range(10).select(F.col("id").alias("a"), F.col("id").cast("string").alias("b"))
     export(df, str(tmp_path / "csv"), "csv", gzip=True)
     assert load_table(spark, str(tmp_path / "csv"), schema, "csv").count() == 10
