@@ -89,3 +89,14 @@ def test_interleaved_kinds(spark):
     log = _log(spark, [("u", 0, "play_video", None), ("u", 100, "problem_check", None), ("u", 200, "pause_video", None), ("u", 260, "other", None), ("u", 300, "problem_show", None)])
     r = time_on_task(log).first()
     assert (r.total_time_30, r.total_video_time_30, r.serial_video_time_30, r.total_problem_time_30, r.serial_problem_time_30) == (300.0, 200.0, 100.0, 200.0, 200.0)
+
+
+def test_lookup_copies_count_in_the_plan(spark):
+    """Copies of a table are not broadcast because one of them would be small, and facts about items are not copied."""
+    big, small = spark.range(1000).withColumn("k", F.col("id") % 7), spark.range(300_000).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    for salts in (16, 1):
+        out = salted_lookup(big, small, ["k"], "left", salt_by=["id"], salts=salts)
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, plan
+        assert ("_salt" in plan) == (salts > 1)
+        assert out.count() == 1000
