@@ -1,7 +1,7 @@
 """Counts and quantiles that are kept per day and merged later without the log.
 
-Sketches and bitmaps have a fixed size each, so a course with a third of all rows costs
-one small value per day, and every merge combines before its shuffle.
+Sketches have a fixed size, so a course with a third of all rows costs one small value per
+day, and every merge combines before its shuffle.
 """
 
 from __future__ import annotations
@@ -57,20 +57,25 @@ def quantile_of(sketch: str | Column, share: float) -> Column:
 def rolling_distinct(df: DataFrame, keys: list[str], day: str, value: str, days: int) -> DataFrame:
     """(keys, day, n): exact distinct values of the last ``days`` days, for every day that has a row.
 
-    Values are numbered once; a day's values are bitmaps of 32,768 numbers each, and a
-    window unites the bitmaps of its days. No set of values is ever held: a hot group is
-    a row per day and bitmap. Null values are not counted, rows without a day are left out.
+    Values are numbered once per key, those of a key in sequence; a day's values are bitmaps of
+    64 numbers each, and a window unites the bitmaps of its days. A key with few values costs a few
+    whole numbers per day, and no set of values is ever held: a hot group is a row per day and
+    bitmap. Null values are not counted, rows without a day are left out.
     """
     c = F.col
     rows = df.select(*keys, c(day).cast("date").alias("_day"), c(value).alias("_value")).filter("_day IS NOT NULL").distinct()
     rows = stage(rows, "rolling-values")
+    pairs = rows.filter("_value IS NOT NULL").groupBy(*keys, "_value").agg(F.collect_set("_day").alias("_days"))
+    # ranges, not hashes: neighbours of a key share bitmaps, and a hot key is dealt to several tasks;
     # written once, so that a task run again cannot number differently
-    numbers = stage(rows.select("_value").filter("_value IS NOT NULL").distinct().withColumn("_number", F.monotonically_increasing_id()), "rolling-numbers")
-    daily = rows.filter("_value IS NOT NULL").join(numbers, "_value").groupBy(*keys, "_day", F.bitmap_bucket_number("_number").alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("_number")).alias("_bits"))
+    ordered = pairs.repartitionByRange(*keys, "_value").sortWithinPartitions(*keys, "_value")
+    numbers = stage(ordered.select(*keys, F.monotonically_increasing_id().alias("_number"), "_days"), "rolling-numbers")
+    bit = F.expr("shiftleft(1L, cast(_number % 64 AS int))")
+    daily = numbers.withColumn("_bucket", F.shiftright("_number", 6)).withColumn("_bits", bit).withColumn("_day", F.explode("_days")).groupBy(
+        *keys, "_day", "_bucket").agg(F.bit_or("_bits").alias("_bits"))
     ends = daily.withColumn("_day", F.explode(F.sequence("_day", F.date_add("_day", days - 1))))
-    united = ends.groupBy(*keys, "_day", "_bucket").agg(F.bitmap_or_agg("_bits").alias("_bits"))
-    counts = united.groupBy(*keys, "_day").agg(F.sum(F.bitmap_count("_bits")).alias("n"))
+    united = ends.groupBy(*keys, "_day", "_bucket").agg(F.bit_or("_bits").alias("_bits"))
+    counts = united.groupBy(*keys, "_day").agg(F.sum(F.bit_count("_bits")).cast("long").alias("n"))
     present = rows.select(*keys, "_day").distinct()
     same = [present[k].eqNullSafe(counts[k]) for k in [*keys, "_day"]]
     found = present.join(counts, same, "left")
