@@ -69,3 +69,11 @@ def test_reliability_with_zeros_has_no_grid(spark):
     near = lambda x: None if x is None else round(x, 9)
     got = {(r.course_id, r.problem_nid): (r.nobs, near(r.mean), near(r.itemtestcorr), near(r.itemrestcorr)) for r in result.collect()}
     assert got == {(r.course_id, r.problem_nid): (r.nobs, near(r["mean"]), near(r.t), near(r.r)) for r in want.collect()}
+
+
+def test_rolling_bitmaps_are_as_large_as_a_key_needs(spark):
+    """Users of a course are numbered in sequence: a few whole numbers per day, not a bitmap of 4 KB for each user."""
+    rows = [(f"c{i % 50}", "2024-01-05", f"u{i}") for i in range(1500)]
+    out = S.rolling_distinct(log(spark, rows), ["course"], "day", "user", 7)
+    assert "bitmap_construct_agg" not in out._jdf.queryExecution().analyzed().toString()
+    assert {(r.course, r.n) for r in out.collect()} == {(f"c{k}", 30) for k in range(50)}
