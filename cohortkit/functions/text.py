@@ -24,22 +24,28 @@ SCRIPTS = {
 SELDOM = r"\p{IsBengali}\p{IsLao}\p{IsKhmer}\p{IsTelugu}\p{IsMalayalam}\p{IsSinhala}\p{IsTamil}\p{IsGeorgian}\p{IsArmenian}\p{IsKannada}"
 
 
+# Characters that cost their length alone and are the same in every reading.
+PLAIN = r"[\t\n\x20-\x7e]"
+
+
 def _count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
 
 def text_cost(text: Column) -> Column:
     """100 per error, 10 per very odd place, 1 to 5 per odd character, plus the length."""
-    cost = F.length(text) + 100 * _count(text, r"[\uFFFD\p{Co}]")
-    for weight, chars in {**ODD, **ODD_GREMLINS}.items():
+    cost = F.length(text)
+    for weight, chars in ODD.items():
         cost = cost + weight * _count(text, f"[{chars}]")
-    return cost + F.when(text.rlike(r"[^\x00-\xff]"), _script_cost(text)).otherwise(F.lit(0))
+    return cost + F.when(text.rlike(r"[^\x00-\xff]"), _wide_cost(text)).otherwise(F.lit(0))
 
 
-def _script_cost(text: Column) -> Column:
-    """Cost of letters from unlikely or mixed scripts."""
+def _wide_cost(text: Column) -> Column:
+    """Cost of errors, of the Windows characters and of letters from unlikely or mixed scripts."""
     known = "".join(SCRIPTS.values())
-    cost = F.lit(0)
+    cost = 100 * _count(text, r"[\uFFFD\p{Co}]")
+    for weight, chars in ODD_GREMLINS.items():
+        cost = cost + weight * _count(text, f"[{chars}]")
     for chars in SCRIPTS.values():  # a letter next to one of another script
         cost = cost + 10 * _count(text, rf"(?<=[{chars}&&\p{{L}}])[\p{{L}}&&[^{chars}\x00-\xff]]")
     cost = cost + 2 * _count(text, rf"(?<=\p{{L}})[{SELDOM}&&\p{{L}}]")
@@ -76,16 +82,32 @@ def repaired(text: Column) -> Column:
     A wrong decoding makes at least two characters of each it touches, and a change of
     character set comes at most once between two decodings, so twice the logarithm of the
     length is enough rounds for any text. A settled text is passed on unread.
+
+    A run of plain characters counts as its last one, all that the rules on neighbours
+    read, so that the patterns run over the odd places alone and not over the whole text.
     """
-    start = F.struct(text.alias("t"), F.lit(False).alias("settled"))
     rounds = F.sequence(F.lit(0), (2 * F.ceil(F.log2(F.length(text) + 1)) + 1).cast("int"))
+    short = F.regexp_replace(text, f"{PLAIN}+(?={PLAIN})", "")
+    ends = F.transform(F.array(short), lambda s: F.struct(s.alias("s"), _settled(s, rounds).alias("t")))
+    found = F.transform(ends, lambda e: F.when(e["s"] == e["t"], text).otherwise(_with_runs(e["t"], text)))
+    return F.when(text.rlike(r"[^\x00-\x7f]"), F.element_at(found, 1)).otherwise(text)
+
+
+def _settled(text: Column, rounds: Column) -> Column:
+    start = F.struct(text.alias("t"), F.lit(False).alias("settled"))
 
     def step(a: Column, _: Column) -> Column:
         better = F.transform(F.array(a["t"]), _one_round)
         after = lambda t: F.struct(t.alias("t"), (t == a["t"]).alias("settled"))
         return F.when(a["settled"], a).otherwise(F.element_at(F.transform(better, after), 1))
 
-    return F.when(text.rlike(r"[^\x00-\x7f]"), F.aggregate(rounds, start, step, lambda a: a["t"])).otherwise(text)
+    return F.aggregate(rounds, start, step, lambda a: a["t"])
+
+
+def _with_runs(short: Column, text: Column) -> Column:
+    """``short`` with the runs of plain characters that ``text`` has; no reading makes or loses a plain character."""
+    odd, runs = F.split(short, PLAIN, -1), F.regexp_extract_all(text, F.lit(f"({PLAIN}+)"), 1)
+    return F.array_join(F.zip_with(odd, runs, lambda o, r: F.concat(o, F.coalesce(r, F.lit("")))), "")
 
 
 def repair_text(df: DataFrame, columns: list[str]) -> DataFrame:

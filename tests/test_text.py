@@ -1,3 +1,5 @@
+import time
+
 from cohortkit.functions.text import repair_text
 
 CASES = [
@@ -40,3 +42,15 @@ def test_repairs(spark):
     df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(CASES)], "i int, a string, b string")
     for r in repair_text(df, ["a"]).collect():
         assert r.a == r.b
+
+
+def test_long_plain_runs(spark):
+    """Patterns read the odd places of a text, not its long plain runs, which come back as they were."""
+    run = "plain words,\n\tand more of them; " * 30_000
+    cases = [(run + "Ãºnico" + run, run + "único" + run), ("Ãº" + run + "\xe2\x82\xac\r\n", "ú" + run + "€\r\n"), (run + "é", run + "é")]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(cases)], "i int, a string, b string").localCheckpoint()
+    repair_text(df.limit(0), ["a"]).collect()
+    start = time.monotonic()
+    for r in repair_text(df, ["a"]).collect():
+        assert r.a == r.b, r.i
+    assert time.monotonic() - start < 10
