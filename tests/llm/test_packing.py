@@ -3,6 +3,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -91,3 +92,21 @@ def test_level_choice_is_the_least_sum_of_squares():
             value = int((n[1:20] ** 2).sum())
             best = value if best is None else min(best, value)
         assert int((packer.counts[1:20] ** 2).sum()) == best
+
+
+def test_batches_of_whole_texts_are_small(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.range(3000).selectExpr("id AS doc_id", "'some words' AS text").coalesce(1)
+    for before, after in (("10000", str(packing.BATCH_ROWS)), ("0", str(packing.BATCH_ROWS)), ("7", "7")):
+        spark.conf.set(name, before)
+        packed = packing.pack_documents(docs, PATH)
+        assert spark.conf.get(name) == after and packed.count() >= 3000
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    spark.conf.set(name, "10000")
+    packing.pack_documents(docs, PATH)
+    assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) <= packing.BATCH_ROWS
+    spark.conf.unset(name)
