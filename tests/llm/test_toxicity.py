@@ -30,6 +30,18 @@ def test_kernel_is_exact():
     assert T.kernel(data, data, pairwise=True) == pytest.approx(want.diagonal(), rel=1e-4, abs=1e-7)
 
 
+def test_kernel_holds_no_row_per_pair_of_characters():
+    """Memory of the kernel follows the length of one string: far less than a matrix for each of the 18 x 18 pairs of characters."""
+    import tracemalloc
+
+    data = T.encode([w.ljust(T.PIECE, "q") for w in WORDS] * 13)
+    tracemalloc.start()
+    T.kernel(data, data)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 6 * T.PIECE * len(data) ** 2 * 4
+
+
 def test_fast_scores_equal_the_kernel_sum():
     marks = ["idiot", "loser", "and", "banana", "réeux"]
     beta = np.array([1.0, -2.0, 0.5, 3.0, -1.0])
