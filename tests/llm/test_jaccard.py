@@ -80,6 +80,37 @@ def test_large_crowd_in_blocks(spark):
     assert got(spark.createDataFrame(rows, "doc_id long, text string"), meeting=10, block_sets=40) == brute(rows)
 
 
+def test_parts_name_equal_sets_alike():
+    """At the level of the larger of two linked sets, the parts of one alone are no more than their differences."""
+    rnd = random.Random(4)
+    for n in (1, 5, 6, 20, 90, 400, 2000):
+        a = [rnd.getrandbits(64) - (1 << 63) for _ in range(n)]
+        for percent in (85, 50):
+            off = rnd.randint(0, n * (100 - percent) // 100)
+            b = a[off:] + [rnd.getrandbits(64) - (1 << 63) for _ in range((percent * n - 100 * (n - off)) // -percent if 100 * (n - off) > percent * n else 0)]
+            if 100 * (n - off) < percent * len({*a, *b}):
+                continue
+            x, y = (J.parts_of(J.np.sort(J.np.array(s, dtype="int64")), percent) for s in (a, b))
+            k = J.level(max(len(a), len(b)), percent)
+            at = lambda v: {p for p in v.tolist() if p % 32 == k}
+            assert at(x) and at(y)
+            for own, size in ((at(x) - at(y), len(a)), (at(y) - at(x), len(b))):
+                assert len(own) <= len({*a} ^ {*b}) <= J.spare_parts(size, percent)
+
+
+def test_sets_of_common_shingles_are_dropped(spark):
+    """Every shingle is in many texts, but only two texts are alike: the others are not compared."""
+    rnd = random.Random(8)
+    texts = [rnd.choices("abcdef", k=300) for _ in range(60)]
+    texts.append(texts[0][:100] + ["x"] + texts[0][101:])
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = J.shingle_sets(df)
+    classes = J.classes_of(found)
+    assert sorted(r.least for r in J.promising(found, classes, J.PERCENT).collect()) == [0, 60]
+    assert got(df) == brute(rows)
+
+
 def test_awkward_and_empty(spark):
     rows = [(r.doc_id, r.text) for r in awkward(spark).collect()]
     assert got(awkward(spark)) == brute(rows)
